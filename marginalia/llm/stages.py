@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,5 +37,4 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes of each document."""
     from .apportion import mix_documents
 
-    mixed = mix_documents(docs).drop("source")
-    return mixed.where(F.col("taken") > 0)
+    return mix_documents(docs).drop("source", "shard")
