@@ -1,8 +1,8 @@
 """Token counts of a BPE piece vocabulary without token ids.
 
-Method: spaces start pre-tokens: a pre-token is a run of spaces (or of the mark that stands for them) with what
-follows up to the next one, and no piece of the vocabulary crosses such a border (checked when the model is loaded;
-where one would, whole texts are the pre-tokens). Pieces are counted once for each distinct pre-token. The pre-tokens
+Method: a pre-token is a run of spaces (or of the mark that stands for them) with a run of marks or of other characters
+behind it, or a run of line feeds and tabs; no piece of the vocabulary crosses such a border (checked when the model is
+loaded; where one would, whole texts are the pre-tokens). Pieces are counted once for each distinct pre-token. The pre-tokens
 of a bounded hashed sample of documents (`sample` documents, at most `head` pre-tokens of at most `head_chars`
 characters, so at most head x head_chars x 4 bytes) are counted first, once each, and this table is joined to the
 frequencies while a document is read; all other pre-tokens go by an exact way: rows (pre-token, document, frequency)
@@ -26,10 +26,6 @@ SAMPLE, HEAD, HEAD_CHARS, LIMIT = 4000, 150_000, 32, 4096
 _SPACE = "▁"
 
 
-def pretoken_pattern(split: bool) -> str:
-    return f"[ {_SPACE}]+[^ {_SPACE}]*|[^ {_SPACE}]+" if split else r"(?s:.+)"
-
-
 def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, sample: int = SAMPLE, head: int = HEAD, head_chars: int = HEAD_CHARS) -> DataFrame:
     """(id_col, n_bytes, n_tokens, over_limit), one row for each input row."""
     spark = docs.sparkSession
@@ -83,23 +79,32 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     return read.join(rest, "row", "left").select(F.col("_id").alias(id_col), "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit"))
 
 
+def pretoken_pattern(pieces: list[str]) -> str:
+    """Where no piece of the vocabulary crosses: between white space of lines and all else, between marks and other
+    characters, and before spaces that follow something else. The class of marks is ASCII punctuation with all
+    characters that share a piece with a member."""
+    joint = {a + b for p in pieces for a, b in zip(p, p[1:])}
+    if any(b == _SPACE != a for a, b in joint) or any(set(p) & set("\n\t") for p in pieces):
+        return r"(?s:.+)"
+    marks = {chr(c) for c in range(33, 127) if not chr(c).isalnum()}
+    while more := {c for a, b in joint if (a in marks) != (b in marks) for c in (a, b)} - marks - {_SPACE}:
+        marks |= more
+    m = re.escape("".join(sorted(marks)))
+    return f"[ {_SPACE}]*(?:[{m}]+|[^ {_SPACE}\n\t{m}]+)|[\n\t]+|[ {_SPACE}]+"
+
+
 def _from_bytes(blob: bytes):
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_proto=blob)
-    pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
-    split = not any(re.search(f"[^{_SPACE}]{_SPACE}", p) for p in pieces)
-    blank = re.compile(f"[ {_SPACE}]+")
+    pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))]
+    base = len(sp.encode("\n"))
 
     def count(pretokens: list[str]) -> list[int]:
-        """The model puts one space before a text, so a pre-token goes without its first; of mere spaces, the
-        numbers of pieces are taken behind a letter."""
-        plain = [p[1:] if p[0] in f" {_SPACE}" else p for p in pretokens]
-        out = [len(x) for x in sp.encode(plain, num_threads=1)]
-        base = len(sp.encode("a"))
-        for i, p in enumerate(pretokens):
-            if blank.fullmatch(p):
-                out[i] = len(sp.encode("a" + p)) - base
-        return out
-
-    return count, re.compile(pretoken_pattern(split))
+        """Behind a line feed, which no piece holds, a pre-token has the pieces that it has inside a text."""
+        return [len(x) - base for x in sp.encode(["\n" + p for p in pretokens], num_threads=1)]
+
+    pattern = pretoken_pattern(pieces)
+    if pattern == r"(?s:.+)":  # whole texts, read with the space put before them
+        return lambda texts: [len(x) for x in sp.encode([t[1:] for t in texts], num_threads=1)], re.compile(pattern)
+    return count, re.compile(pattern)
