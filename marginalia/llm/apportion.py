@@ -88,7 +88,7 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     units = units.withColumn("value", F.when(F.col("source_size") > 0, F.col("target") * F.col("shard_size") / F.col("source_size")).otherwise(0.0)).withColumn("most", F.floor(F.col("shard_size") * cap / block_words).cast("long"))
     units = materialise(units, "units")
     room = units.agg(F.sum("most")).first()[0] or 0
-    quota = sainte_lague(units, min(room, round(total * share / block_words)))
+    quota = sainte_lague(units, min(room, int(total * share / block_words + 0.5)))
     # whole rounds, and the run of the last round
     n, want = F.col("shard_size"), F.col("seats") * block_words
     quota = quota.select("unit", "shard_size", F.when(n > 0, F.floor(want / n)).otherwise(0).cast("long").alias("rounds"), F.when(n > 0, want % n).otherwise(0).cast("long").alias("run"))
