@@ -2,9 +2,9 @@
 
 Method: a pre-token is a run of spaces (or of the mark that stands for them) with a run of marks or of other characters
 behind it, or a run of line feeds and tabs; no piece of the vocabulary crosses such a border (checked when the model is
-loaded; where one would, whole texts are the pre-tokens). Pieces are counted once for each distinct pre-token. The pre-tokens
-of a bounded hashed sample of documents (`sample` documents, at most `head` pre-tokens of at most `head_chars`
-characters, so at most head x head_chars x 4 bytes) are counted first, once each, and this table is joined to the
+loaded; where one would, whole texts are the pre-tokens). Pieces are counted once for each distinct pre-token. The
+most frequent ones of a hashed sample of about `sample` documents (at most `head`, of at most `head_chars` characters,
+so at most head x head_chars x 4 bytes) are counted first, once each, and this table is joined to the
 frequencies while a document is read; all other pre-tokens go by an exact way: rows (pre-token, document, frequency)
 are shuffled by pre-token, each distinct one is counted once, and the products are summed for each document.
 
@@ -15,6 +15,7 @@ an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .store import materialise
 
-SAMPLE, HEAD, HEAD_CHARS, LIMIT = 4000, 150_000, 32, 4096
+SAMPLE, HEAD, HEAD_CHARS, LIMIT = 8000, 300_000, 32, 4096
 _SPACE = "▁"
 
 
@@ -40,14 +41,15 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
     def found(batches):
         _, pat = _from_bytes(model.value)
-        seen = set()
+        seen = Counter()
         for b in batches:
             for t in b.column(0).to_pylist():
                 seen.update(p for p in pat.findall(" " + t) if len(p) <= head_chars)
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], names=["pre"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["pre", "n"])
 
-    picked = texts.select("_text", F.xxhash64("_id", F.length("_text")).alias("h")).where(F.length("_text") < 100_000).orderBy("h").select("_text").limit(sample) if sample else texts.select("_text").limit(0)
-    known = picked.mapInArrow(found, "pre string").groupBy("pre").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "pre").limit(head).select("pre").mapInArrow(pieces, "pre string, pieces int")
+    share = min(1.0, sample / max(1, docs.count()))
+    picked = texts.where(F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000)).select("_text")
+    known = picked.mapInArrow(found, "pre string, n long").groupBy("pre").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pre").limit(head).select("pre").mapInArrow(pieces, "pre string, pieces int")
     table = spark.sparkContext.broadcast({r[0]: r[1] for r in known.collect()})
 
     def first_pass(batches):
