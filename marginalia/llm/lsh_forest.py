@@ -94,7 +94,7 @@ def tree_labels(reps: DataFrame, trees: int) -> DataFrame:
 def _regions(rows: DataFrame, key: str, small: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Of the regions with one key: all pairs of the small ones, first-to-each pairs of the large, rows of the large."""
     size = rows.groupBy(key).agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1")
-    own = rows.join(size, key)
+    own = materialise(rows.join(size, key), "regions")  # what shares a prefix at all: read several times below
     few = own.where(F.col("n") <= small).groupBy(key).agg(F.sort_array(F.collect_list("rep")).alias("m"))
     pairs = few.select(F.explode(F.expr("flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> named_struct('a', x, 'b', y))))")).alias("p")).select("p.a", "p.b")
     big = own.where(F.col("n") > small)
