@@ -1,8 +1 @@
 """Operators for preparing training data at scale; nothing outside this package imports it."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# Executors need not have this package installed: its functions travel with the tasks.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
