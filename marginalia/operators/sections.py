@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,32 +14,30 @@ SECTION = "struct<name:string,start:int,end:int,heading_text:string>"
 HEADING = r"(?Umd)^[ \t]*(?:[#*\-]+|\d+[.)])?[ \t]*(?:[^\n:]{2,90}):?"
 
 
-def heading_class(line: Column) -> Column:
-    """The first section one of whose names the heading contains."""
-    bare = F.regexp_replace(line, r"(?U)^\s*(?:[#*\-]+|\d+[.)])\s*", "")
-    n = T.norm(F.substring_index(bare, ":", 1))
+def heading_class(n: Column) -> Column:
+    """C1, on a heading's normal form without its bullet and its colon: the first section one of whose names it
+    contains."""
     out = F.when(F.lit(False), F.lit(""))
     for name, words in L.SECTIONS.items():
-        hit = n.contains(words[0])
-        for w in words[1:]:
-            hit = hit | n.contains(w)
-        out = out.when(hit & (F.length(n) <= 90), F.lit(name))
+        out = out.when(reduce(Column.__or__, [n.contains(w) for w in words]) & (F.length(n) <= 90), F.lit(name))
     return out
 
 
-def sections(raw: Column) -> Column:
-    """From each heading to the next; text before the first is `unknown`, so is a text without headings."""
-    found = F.transform(T.hits(raw, HEADING), lambda h: F.struct(heading_class(T.squeeze(T.cut(raw, h["start"], h["end"]))).alias("name"), h["start"].alias("start"), F.regexp_replace(T.cut(raw, h["start"], h["end"]), r"(?U)^\s+|\s+$", "").alias("heading_text")))
-    heads = F.filter(found, lambda h: h["name"].isNotNull())
-    begin = F.when(F.size(heads) == 0, F.lit(0)).otherwise(heads[0]["start"])
-    full = F.length(raw)
-    named = F.transform(heads, lambda h, i: F.struct(h["name"].alias("name"), h["start"].alias("start"), F.coalesce(F.get(heads, i + 1)["start"], full).alias("end"), h["heading_text"].alias("heading_text")))
-    lead = F.struct(F.lit("unknown").alias("name"), F.lit(0).alias("start"), F.when(F.size(heads) == 0, full).otherwise(begin).alias("end"), F.lit("").alias("heading_text"))
-    return F.when((F.size(heads) == 0) | (begin > 0), F.concat(F.array(lead), named)).otherwise(named).cast(f"array<{SECTION}>")
-
-
 def with_sections(notes: DataFrame) -> DataFrame:
-    return notes.withColumn("sections", sections(F.col("raw_text")))
+    """Column `sections`, array<struct<name,start,end,heading_text>>: from each heading to the next; text before the
+    first is `unknown`, so is a text without headings. In steps, so that no step is computed more than once."""
+    raw = F.col("raw_text")
+    bare = lambda x: F.substring_index(F.regexp_replace(x, r"(?U)^\s*(?:[#*\-]+|\d+[.)])\s*", ""), ":", 1)
+    strip = lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    rows = notes.withColumn("_m", T.hits(raw, HEADING))
+    rows = rows.withColumn("_m", F.transform("_m", lambda h: F.struct(h["start"].alias("start"), strip(T.cut(raw, h["start"], h["end"])).alias("line"))))
+    rows = rows.withColumn("_m", F.transform("_m", lambda h: F.struct(h["start"].alias("start"), h["line"].alias("line"), T.norm(bare(h["line"])).alias("n"))))
+    rows = rows.withColumn("_m", F.filter(F.transform("_m", lambda h: F.struct(h["start"].alias("start"), h["line"].alias("line"), heading_class(h["n"]).alias("name"))), lambda h: h["name"].isNotNull()))
+    rows = rows.withColumns({"_e": F.concat(F.slice(F.col("_m.start"), 2, F.greatest(F.size("_m"), F.lit(1))), F.array(F.length(raw))), "_b": F.coalesce(F.get("_m", F.lit(0))["start"], F.length(raw))})
+    named = F.zip_with("_m", F.slice("_e", 1, F.size("_m")), lambda h, e: F.struct(h["name"].alias("name"), h["start"].alias("start"), e.alias("end"), h["line"].alias("heading_text")))
+    lead = F.struct(F.lit("unknown").alias("name"), F.lit(0).alias("start"), F.col("_b").alias("end"), F.lit("").alias("heading_text"))
+    whole = F.when((F.size("_m") == 0) | (F.col("_b") > 0), F.concat(F.array(lead), named)).otherwise(named)
+    return rows.withColumn("sections", whole.cast(f"array<{SECTION}>")).drop("_m", "_e", "_b")
 
 
 def section_of(secs: Column, start: Column, end: Column) -> Column:
