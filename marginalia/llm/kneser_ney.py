@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kit
-from .store import materialise
+from .store import by_ids, materialise
 
 QUANTILE, MARGIN, PRIOR, LEAST = 0.99, 0.10, 200, 20
 BITS = 6
@@ -136,19 +136,19 @@ def score(docs: DataFrame, model: dict, keys: list[str]) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, margin: float = MARGIN, prior: int = PRIOR, least: int = LEAST) -> DataFrame:
     """(id_col, lang, n_bytes, surprise, perplexity, threshold, rejected), one row for each input row; labels have
     doc_id, quality and toxic, and trusted documents are those of quality 1 that are not toxic."""
-    trusted = labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct().withColumn("_trusted", F.lit(True))
+    trusted = labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select(F.col("doc_id").alias("_id"))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).cast("string").alias("_text"))
-    model = train(rows.join(trusted, "_id", "left_semi").select("_text"))
+    model = train(by_ids(rows, trusted, "_id", "left_semi").select("_text"))
     if model is None:
         return rows.select(F.col("_id").alias(id_col), F.col("_lang").alias("lang"), F.coalesce(F.octet_length("_text"), F.lit(0)).cast("long").alias("n_bytes"), *(F.lit(None).cast("double").alias(c) for c in ("surprise", "perplexity", "threshold")), F.lit(False).alias("rejected"))
     scored = materialise(score(rows, model, ["_id", "_lang"]), "scores")
-    seen = scored.join(trusted, "_id", "left_semi").where("n > 0")
+    seen = by_ids(scored, trusted, "_id", "left_semi").where("n > 0")
     means = seen.groupBy("_lang").agg(F.count("*").alias("docs"), (F.sum("total") / F.sum("n")).alias("mean"))
     every = seen.agg(F.sum("total") / F.sum("n")).first()[0]
     named = scored.join(means.where(F.col("docs") >= least).select(F.col("_lang").alias("_l"), "mean"), F.col("_lang") == F.col("_l"), "left").withColumn("m", F.coalesce("mean", F.lit(every)))
     named = named.withColumn("surprise", F.when(F.col("n") > 0, (F.col("total") + prior * F.col("m")) / (F.col("n") + prior))).drop("_l")
     named = materialise(named, "shrunk")
-    seen = named.join(trusted, "_id", "left_semi").where("n > 0")
+    seen = by_ids(named, trusted, "_id", "left_semi").where("n > 0")
     q = lambda: F.percentile_approx("surprise", quantile, 10_000)
     cuts = seen.where("mean IS NOT NULL").groupBy(F.col("_lang").alias("_l")).agg(q().alias("cut"))
     default = seen.agg(q()).first()[0]
@@ -158,5 +158,5 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def keep_fluent(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """docs without the rejected ones; of rows that repeat an id, all go if one is rejected. Null ids stay."""
-    gone = classify(docs, labels, id_col, **how).where("rejected").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    gone = classify(docs, labels, id_col, **how).where("rejected").select(id_col)
+    return by_ids(docs, gone, id_col, "left_anti")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,3 +39,16 @@ def discard(df: DataFrame) -> None:
         spark = df.sparkSession
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.sc().hadoopConfiguration()).delete(p, True)
+
+
+#: Rows of ids that are broadcast: 4 million longs, 32 MB.
+BROADCAST_IDS = 4_000_000
+
+
+def by_ids(df: DataFrame, ids: DataFrame, column: str, how: str, bound: int = BROADCAST_IDS) -> DataFrame:
+    """df joined (left_semi or left_anti) with the distinct ids of the one-column table `ids`. The ids are written and
+    counted: up to `bound` are broadcast, so that long texts aren't shuffled for a test of their id; more are joined by
+    a shuffle. Null ids match nothing."""
+    own = materialise(ids.toDF("_own_id").where("_own_id IS NOT NULL").distinct(), "ids")
+    own = F.broadcast(own) if own.count() <= bound else own
+    return df.join(own, df[column] == own["_own_id"], how)
