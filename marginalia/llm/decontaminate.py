@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kit
+from .store import by_ids
 
 THRESHOLD, OVERLAP, K1, B, SHINGLE, POSTING_BLOCK, ITEM_BLOCK, INDEX_BYTES = 0.5, 0.8, 1.2, 0.75, 5, 32, 2, 64 << 20
 
@@ -241,5 +242,4 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """docs without those that hold an item; of rows that repeat an id, all go if one holds an item."""
-    gone = contaminated(docs, items, id_col, **how).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    return by_ids(docs, contaminated(docs, items, id_col, **how).select(id_col), id_col, "left_anti")

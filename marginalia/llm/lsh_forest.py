@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import kit
 from .components import components
-from .store import materialise
+from .store import by_ids, discard, materialise
 
 TREES, SMALL, SCREEN, SEED = 24, 32, 0.55, 17
 
@@ -69,32 +69,62 @@ def shingle_sets(docs: DataFrame, k: int, inside: np.ndarray = kit.NONSPACE) ->
     return docs.mapInArrow(run, "_id long, set array<long>")
 
 
+def _orders(trees: int) -> np.ndarray:
+    """For each tree the eight values that its order looks at: four of its own, then four drawn from the others."""
+    others = [np.random.RandomState(1000 + t).permutation(np.delete(np.arange(4 * trees), range(4 * t, 4 * t + 4)))[:4] for t in range(trees)]
+    return np.stack([np.concatenate((np.arange(4 * t, 4 * t + 4), o)) for t, o in enumerate(others)])
+
+
+def _prefixes(values: np.ndarray, trees: np.ndarray, depths: tuple[int, ...]) -> list[np.ndarray]:
+    """Hashes of the first `depths` values of each row, the tree's number hashed in."""
+    acc, out = kit.mix(trees.astype(np.uint64) + np.uint64(1)), []
+    with np.errstate(over="ignore"):
+        for i in range(max(depths)):
+            acc = kit.mix(acc * np.uint64(0x2545F4914F6CDD1D) + values[..., i])
+            if i + 1 in depths:
+                out.append(acc.reshape(-1).view(np.int64))
+    return out
+
+
+def _signatures(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), -1).astype(np.uint64)
+
+
 def tree_labels(reps: DataFrame, trees: int) -> DataFrame:
-    """(rep, p4, p6, p8) for each tree: hashes of its first 4, 6 and 8 values, the tree's number hashed in. p8 sorts
-    by p6, and p6 by p4, only within a region, which is all that is asked of them."""
+    """(rep, tree, p4): for each tree the hash of its first four values."""
+
+    def run(batches):
+        order = _orders(trees)[:, :4]
+        for batch in batches:
+            n = batch.num_rows
+            if n:
+                (p4,) = _prefixes(_signatures(batch.column(1))[:, order], np.broadcast_to(np.arange(trees), (n, trees)), (4,))
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), trees)), pa.array(np.tile(np.arange(trees, dtype=np.int8), n)), pa.array(p4)], names=["rep", "tree", "p4"])
+
+    return reps.mapInArrow(run, "rep long, tree byte, p4 long")
+
+
+def deeper_labels(rows: DataFrame, reps: DataFrame, trees: int) -> DataFrame:
+    """(rep, p6, p8) of rows (rep, tree) in crowded regions."""
 
     def run(batches):
-        order = np.stack([np.concatenate(([4 * t + i for i in range(4)], np.random.RandomState(1000 + t).permutation(np.delete(np.arange(4 * trees), range(4 * t, 4 * t + 4)))[:4])) for t in range(trees)])
+        order = _orders(trees)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(batch.num_rows, -1).astype(np.uint64)
-            cut = {}
-            acc = np.broadcast_to(kit.mix(np.arange(1, trees + 1, dtype=np.uint64)), (len(sig), trees)).copy()
-            with np.errstate(over="ignore"):
-                for i in range(8):
-                    acc = kit.mix(acc * np.uint64(0x2545F4914F6CDD1D) + sig[:, order[:, i]])
-                    cut[i + 1] = acc.reshape(-1).view(np.int64)
-            rep = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), trees)
-            yield pa.RecordBatch.from_arrays([pa.array(rep), *(pa.array(cut[i]) for i in (4, 6, 8))], names=["rep", "p4", "p6", "p8"])
+            if batch.num_rows:
+                tree = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+                values = np.take_along_axis(_signatures(batch.column(2)), order[tree], axis=1)
+                p6, p8 = _prefixes(values, tree, (6, 8))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p6), pa.array(p8)], names=["rep", "p6", "p8"])
 
-    return reps.mapInArrow(run, "rep long, p4 long, p6 long, p8 long")
+    return rows.join(reps.select(F.col("_id").alias("rep"), "sig"), "rep").select("rep", "tree", "sig").mapInArrow(run, "rep long, p6 long, p8 long")
 
 
 def _regions(rows: DataFrame, key: str, small: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of the regions with one key: all pairs of the small ones, first-to-each pairs of the large, rows of the large."""
-    size = rows.groupBy(key).agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1")
-    own = materialise(rows.join(size, key), "regions")  # what shares a prefix at all: read several times below
+    """Of the regions with one key: all pairs of the small ones, first-to-each pairs of the large, rows of the large.
+    The rows are dealt by key once; sizes and members come from that one shuffle."""
+    dealt = rows.repartition(key)
+    size = dealt.groupBy(key).agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1")
+    own = materialise(dealt.join(size, key), "regions")  # what shares a prefix at all: read several times below
     few = own.where(F.col("n") <= small).groupBy(key).agg(F.sort_array(F.collect_list("rep")).alias("m"))
     pairs = few.select(F.explode(F.expr("flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> named_struct('a', x, 'b', y))))")).alias("p")).select("p.a", "p.b")
     big = own.where(F.col("n") > small)
@@ -113,9 +143,9 @@ def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, k: int, thresh
 
     seen = pairs.distinct().join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
     cand = materialise(seen.select("a", "b", "sa", "sb").mapInArrow(agree, "a long, b long"), "candidates")
-    need = cand.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    sets = shingle_sets(texts.join(need, "_id", "left_semi").dropDuplicates(["_id"]), k, inside)
-    sets = materialise(sets, "sets")
+    need = cand.select(F.explode(F.array("a", "b")))
+    sets = shingle_sets(by_ids(texts, need, "_id", "left_semi"), k, inside)
+    sets = materialise(sets.dropDuplicates(["_id"]), "sets")
     both = cand.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     inter = F.size(F.array_intersect("x", "y"))
     return both.select("a", "b", inter.alias("i"), (F.size("x") + F.size("y") - inter).alias("u")).where(F.col("i") * 100 >= F.col("u") * threshold).select("a", "b")
@@ -133,7 +163,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = materialise(reps, "representatives")
     labels = materialise(tree_labels(reps, trees), "labels")
     p4, h4, r4 = _regions(labels, "p4", small)
-    p6, h6, r6 = _regions(r4, "p6", small)
+    discard(labels)
+    p6, h6, r6 = _regions(deeper_labels(r4, reps, trees), "p6", small)
     p8, h8, r8 = _regions(r6, "p8", small)
     pairs = p4
     for x in (h4, p6, h6, p8, h8):
@@ -161,5 +192,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: int = 80) -> DataFrame:
     """docs without the rows whose component has a smaller id; of rows that repeat an id, all stay or all go."""
-    gone = near_duplicates(docs, id_col, text_col, k, threshold).where("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs, id_col, text_col, k, threshold).where("NOT kept").select(id_col)
+    return by_ids(docs, gone, id_col, "left_anti")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import kit
 from .components import components
-from .store import materialise
+from .store import by_ids, materialise
 
 BANDS, ROWS, SHINGLE, MIN_WORDS, PIECE_WORDS, PIECE_BYTES, REACH, SMALL, SEED = 10, 3, 5, 8, 6, 40, 5, 16, 43
 
@@ -112,7 +112,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     need = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(classes.select("rep", "p"), "rep").select("rep", "p.*")
     need = materialise(need, "needed")
     # one place of each class is read again for its full set
-    texts = rows.join(need.select("id").distinct(), "id", "left_semi").mapInArrow(lambda b: _units(b, "sets"), "id long, s int, e int, set array<long>")
+    texts = by_ids(rows, need.select("id"), "id", "left_semi").mapInArrow(lambda b: _units(b, "sets"), "id long, s int, e int, set array<long>")
     sets = materialise(texts.join(need, ["id", "s", "e"]).groupBy("rep").agg(F.first("set").alias("set")), "sets")
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     inter = F.size(F.array_intersect("x", "y"))

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from .store import materialise
 
 WINDOW, MIN_BYTES = 2, 40
+#: Line numbers to delete are broadcast to the texts up to this many (32 MB), beyond it texts are shuffled to them.
+BROADCAST_TEXTS, BROADCAST_LINES = 1_000_000, 4_000_000
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, min_bytes: int = MIN_BYTES) -> DataFrame:
@@ -44,7 +46,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, min_bytes: int = MIN_BYTES) -> DataFrame:
     """docs with the text shortened, and n_lines, n_removed and removed (line numbers from 0)."""
-    gone = repeated_lines(docs, id_col, text_col, window, min_bytes)
+    gone = materialise(repeated_lines(docs, id_col, text_col, window, min_bytes), "gone")
+    size = gone.agg(F.count("*"), F.sum(F.size("gone"))).first()
+    gone = F.broadcast(gone) if size[0] <= BROADCAST_TEXTS and (size[1] or 0) <= BROADCAST_LINES else gone
     own = docs.withColumn("_hash", F.xxhash64(F.col(text_col).cast("string")))
     j = own.join(gone.withColumnRenamed("_id", "_gone_id"), (own[id_col] == F.col("_gone_id")) & (F.col("_hash") == F.col("_key")), "left")
     lines = F.split(F.col(text_col).cast("string"), "\n")
