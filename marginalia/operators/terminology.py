@@ -19,9 +19,9 @@ TERM = "term_ord long, concept_id string, name string, norm string, folded strin
 
 
 def terms(rows: DataFrame, first: int = 0) -> DataFrame:
-    """Completes rows (concept_id, name, source, semantic_type, aliases, version, language, term_type, ord)."""
-    w = Window.orderBy("ord")
-    return rows.select((F.row_number().over(w) - 1 + first).cast("long").alias("term_ord"), "concept_id", "name", T.norm(F.col("name")).alias("norm"), T.folded(F.col("name")).alias("folded"), "source", "semantic_type", "aliases", "version", "language", "term_type")
+    """Completes rows (concept_id, name, source, semantic_type, aliases, version, language, term_type, ord); term_ord is
+    ord behind `first`, which keeps the order of loading without a sort."""
+    return rows.select((F.col("ord") + first).cast("long").alias("term_ord"), "concept_id", "name", T.norm(F.col("name")).alias("norm"), T.folded(F.col("name")).alias("folded"), "source", "semantic_type", "aliases", "version", "language", "term_type")
 
 
 # key tables
