@@ -10,6 +10,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 OPEN, CLOSE = "\u0001", "\u0002"
 
@@ -18,12 +19,12 @@ _FOLD_FROM = "àáảãạăằắẳẵặâầấẩẫậèéẻẽẹêề
 _FOLD_TO = "aaaaaaaaaaaaaaaaaeeeeeeeeeeeiiiiiooooooooooooooooouuuuuuuuuuuyyyyyd"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def strip_marks(texts: pd.Series) -> pd.Series:
     """NFKD, combining marks dropped, NFKC."""
     return texts.map(lambda t: unicodedata.normalize("NFKC", "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))), na_action="ignore")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from ..functions import lexicons as L
 from ..functions import text as T
@@ -154,7 +155,7 @@ def jaccard(a, b):
     return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / F.when(union > 0, union))
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def word_edit_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     """Insertions, deletions and replacements of words."""
 

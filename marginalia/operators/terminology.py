@@ -11,6 +11,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions import lexicons as L
 from ..functions import text as T
@@ -123,7 +124,7 @@ def _indel(a: str, b: str) -> float:
     return 2 * (len(a) - bin(s).count("1")) / (len(a) + len(b))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([_set_ratio(x, y) if x is not None and y is not None else 0.0 for x, y in zip(a, b)], dtype="float64")
 
@@ -209,7 +210,7 @@ def candidates(mentions: DataFrame, t: DataFrame, fuzzy: bool = True) -> DataFra
     return out.unionByName(_first(_staged(token_lookup(left, t), 3, "token", 0.70, F.col("place"))))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x, y).ratio() if x is not None and y is not None else 0.0 for x, y in zip(a, b)], dtype="float64")
 
