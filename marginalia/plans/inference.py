@@ -49,14 +49,15 @@ def infer(notes: DataFrame, terms: DataFrame, plan: Plan = Plan(), memory: DataF
         rest = notes.join(exact.select("record_id").distinct(), "record_id", "left_anti")
     if plan.use_rules:
         parts.append(extraction.rules(rest, plan.drug_names, plan.diagnosis_names))
-    every = extraction.union(*parts)
+    # kept between the phases, each of which reads its input several times; a lost block is computed again
+    every = extraction.union(*parts).persist()
     if responses is not None:
-        local = every.persist()
+        local = every
         every = local.unionByName(llm_spans.consensus(llm_spans.llm_spans(responses, rest), local, notes, plan.llm_mode))
     if plan.use_rules:
         every = spans.with_value(spans.resolved(every, notes, plan.min_confidence, ner is not None))
     out = terminology.linked(every.persist(), terms, plan.max_candidates, plan.augment_model_candidates, plan.fuzzy, notes, plan.use_context, plan.high, plan.medium)
-    out = spans.with_value(out) if plan.use_rules else out
+    out = (spans.with_value(out) if plan.use_rules else out).persist()
     out = assertion.asserted(out, notes, plan.scope_repair, classified)
     return spans.repaired(out, notes)
 
