@@ -72,11 +72,10 @@ def parse_table(transitions: np.ndarray) -> np.ndarray:
     n = int(transitions[:, [0, 2]].max()) + 1 if len(transitions) else 1
     t = np.full((n, CLASSES), -1, np.int32)
     t[transitions[:, 0], transitions[:, 1]] = transitions[:, 2] * CLASSES
-    first = np.where(t[0] >= 0, t[0], 0)  # a class that the sample lacks is a phrase of its own
-    out = np.where(t >= 0, t, first[None, :] + 1)
+    # every way out of the start begins a phrase; a class that the sample lacks is one of its own and leads back there
+    out = np.where(t >= 0, t, np.where(t[0] >= 0, t[0], 0)[None, :] + 1)
+    out[0] = np.where(t[0] >= 0, t[0], 0) + 1
     out[:, 0] = 0
-    out[0] = np.where(t[0] >= 0, t[0], 1)
-    out[0, 0] = 0
     return out.reshape(-1)
 
 
@@ -94,7 +93,7 @@ def phrases(codes: np.ndarray, offs: np.ndarray, tables: list[np.ndarray], block
     begin, end, doc = begin[order], end[order], doc[order]
     size = end - begin
     alive = np.searchsorted(-size, -np.arange(int(size[0])), side="left")
-    count = np.ones((len(tables), len(doc)), np.int64)
+    count = np.zeros((len(tables), len(doc)), np.int64)
     state = np.zeros((len(tables), len(doc)), np.int32)
     for t in range(int(size[0])):
         k = alive[t]
