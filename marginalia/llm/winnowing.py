@@ -44,21 +44,28 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return lines.select("_id", "_key", F.array_sort(F.array_distinct(F.flatten(F.transform("at", lambda i: F.sequence(i, i + (window - 1)))))).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """docs with the text shortened, and n_lines, n_removed and removed (line numbers from 0)."""
-    gone = materialise(repeated_lines(docs, id_col, text_col, window, min_bytes), "gone")
-    size = gone.agg(F.count("*"), F.sum(F.size("gone"))).first()
+def _cut(docs: DataFrame, id_col: str, text_col: str, window: int, min_bytes: int) -> DataFrame:
+    """docs with the text shortened, and _wl_n (lines) and _wl_gone (numbers of the deleted ones)."""
+    gone = materialise(repeated_lines(docs, id_col, text_col, window, min_bytes), "gone").toDF("_wl_id", "_wl_key", "_wl_gone")
+    size = gone.agg(F.count("*"), F.sum(F.size("_wl_gone"))).first()
     gone = F.broadcast(gone) if size[0] <= BROADCAST_TEXTS and (size[1] or 0) <= BROADCAST_LINES else gone
-    own = docs.withColumn("_hash", F.xxhash64(F.col(text_col).cast("string")))
-    j = own.join(gone.withColumnRenamed("_id", "_gone_id"), (own[id_col] == F.col("_gone_id")) & (F.col("_hash") == F.col("_key")), "left")
+    own = docs.withColumn("_wl_hash", F.xxhash64(F.col(text_col).cast("string")))
+    j = own.join(gone, (own[id_col] == F.col("_wl_id")) & (F.col("_wl_hash") == F.col("_wl_key")), "left")
     lines = F.split(F.col(text_col).cast("string"), "\n")
-    kept = F.array_join(F.transform(F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains("gone", s["i"])), lambda s: s["x"]), "\n")
-    j = j.withColumn("n_lines", F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long")).withColumn("n_removed", F.coalesce(F.size("gone"), F.lit(0)).cast("long"))
-    j = j.withColumn("removed", F.coalesce("gone", F.array().cast("array<int>"))).withColumn(text_col, F.when(F.size("removed") > 0, kept).otherwise(F.col(text_col)))
-    return j.drop("_hash", "_gone_id", "_key", "gone")
+    kept = F.array_join(F.transform(F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains("_wl_gone", s["i"])), lambda s: s["x"]), "\n")
+    j = j.withColumn("_wl_n", F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long"))
+    j = j.withColumn("_wl_gone", F.coalesce("_wl_gone", F.array().cast("array<int>")))
+    return j.withColumn(text_col, F.when(F.size("_wl_gone") > 0, kept).otherwise(F.col(text_col))).select(*docs.columns, "_wl_n", "_wl_gone")
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """docs with the text shortened, and n_lines, n_removed and removed (line numbers from 0), which replace columns of
+    these names."""
+    cut = _cut(docs, id_col, text_col, window, min_bytes)
+    return cut.withColumns({"n_lines": F.col("_wl_n"), "n_removed": F.size("_wl_gone").cast("long"), "removed": F.col("_wl_gone")}).drop("_wl_n", "_wl_gone")
 
 
-def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, min_bytes: int = MIN_BYTES) -> DataFrame:
     """docs with repeated runs cut; a document of which nothing but blanks is left goes, one that had nothing stays."""
-    cut = dedup_lines(docs, id_col, text_col, **how)
-    return cut.where((F.col("n_removed") == 0) | (F.length(F.trim(F.translate(text_col, "\n\t\r", ""))) > 0)).select(*docs.columns)
+    cut = _cut(docs, id_col, text_col, window, min_bytes)
+    return cut.where((F.size("_wl_gone") == 0) | (F.length(F.trim(F.translate(text_col, "\n\t\r", ""))) > 0)).select(*docs.columns)
