@@ -235,7 +235,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                         keys = sorted(best)
                         yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([lo + t for t, _ in keys])), pa.array([index["items"][j][0] for _, j in keys]), *(pa.array([best[k][x] for k in keys], pa.float64()) for x in (2, 0, 1))], names=["_id", "item_id", "bm25", "question_overlap", "answer_overlap"])
 
-        found = rows.mapInArrow(run, f"_id {kinds['_id']}, item_id {item_kind}, bm25 double, question_overlap double, answer_overlap double")
+        found = rows.mapInArrow(kit.tidy(run), f"_id {kinds['_id']}, item_id {item_kind}, bm25 double, question_overlap double, answer_overlap double")
         out = found if out is None else out.union(found)
     return out.withColumnRenamed("_id", id_col)
 

@@ -16,9 +16,6 @@ null ids or repeated ids count once; repeated documents are separate rows; extra
 
 from __future__ import annotations
 
-import builtins
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -74,7 +71,7 @@ def train(texts: DataFrame) -> dict[str, np.ndarray] | None:
                 v = pa.array(grams(d, o, lut)).value_counts()
                 yield pa.RecordBatch.from_arrays([v.field("values"), v.field("counts")], names=["g", "n"])
 
-    tables = {4: materialise(texts.mapInArrow(count, "g int, n long").groupBy("g").agg(F.sum("n").alias("n")), "grams")}
+    tables = {4: materialise(texts.mapInArrow(kit.tidy(count), "g int, n long").groupBy("g").agg(F.sum("n").alias("n")), "grams")}
     for k in (3, 2, 1):
         tables[k] = tables[k + 1].select((F.col("g").bitwiseAND((1 << BITS * k) - 1)).alias("g")).groupBy("g").agg(F.count("*").alias("n"))
     lower, model = None, {}
@@ -101,7 +98,7 @@ def surprises(model: dict) -> np.ndarray:
     for k in (1, 2, 3, 4):
         w = np.ones(1 << BITS * (k - 1), np.float32)
         w[model[f"w{k}"][0]] = model[f"w{k}"][1]
-        p = (w.reshape(-1, 1) * (np.full(1 << BITS, p[0]) if k == 1 else np.tile(p, max(1, len(w) * (1 << BITS) // len(p))).reshape(len(w), 1 << BITS))).reshape(-1)
+        p = (w * np.repeat(p, 1 << BITS) if k == 1 else w.reshape(1 << BITS, -1, 1) * p.reshape(1, -1, 1 << BITS)).reshape(-1)
         p[model[f"p{k}"][0]] = model[f"p{k}"][1]
     np.maximum(p, 1e-30, out=p)
     np.log(p, out=p)
@@ -110,15 +107,11 @@ def surprises(model: dict) -> np.ndarray:
 
 def score(docs: DataFrame, model: dict, keys: list[str]) -> DataFrame:
     """keys, n (bytes) and total (their surprise) of (keys..., _text)."""
-    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     lut = gram_classes()
 
     def run(batches):
-        kept = builtins.__dict__.setdefault("_marginalia_model", {})  # one model for a worker's life, not for each task
-        if name not in kept:
-            kept.clear()
-            kept[name] = surprises(shared.value)
-        table = kept[name]
+        table = surprises(shared.value)  # for the task alone: idle workers hold no 64 MB beside later stages
         for b in batches:
             data, offs = kit.buffers(b.column(b.num_columns - 1))
             for lo, hi, d, o in kit.slices(data, offs):
@@ -130,7 +123,7 @@ def score(docs: DataFrame, model: dict, keys: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(b.column(i).slice(lo, hi - lo) for i in range(len(keys))), pa.array(n), pa.array(total)], names=[*keys, "n", "total"])
 
     kinds = dict(docs.dtypes)
-    return docs.select(*keys, "_text").mapInArrow(run, ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", n long, total double")
+    return docs.select(*keys, "_text").mapInArrow(kit.tidy(run), ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", n long, total double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, margin: float = MARGIN, prior: int = PRIOR, least: int = LEAST) -> DataFrame:

@@ -50,7 +50,7 @@ def signatures(docs: DataFrame, k: int, hashes: int, seed: int = SEED, inside: n
                 flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * hashes), hi - lo, [None, pa.py_buffer(sig.tobytes())])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(hf)), pa.array(k1), pa.array(k2), flat.cast(pa.binary())], names=["_id", "n", "k1", "k2", "sig"])
 
-    return docs.mapInArrow(run, "_id long, n long, k1 long, k2 long, sig binary")
+    return docs.mapInArrow(kit.tidy(run), "_id long, n long, k1 long, k2 long, sig binary")
 
 
 def shingle_sets(docs: DataFrame, k: int, inside: np.ndarray = kit.NONSPACE) -> DataFrame:
@@ -66,7 +66,7 @@ def shingle_sets(docs: DataFrame, k: int, inside: np.ndarray = kit.NONSPACE) ->
                 h, hf = kit.distinct_by_text(*kit.shingles(kit.span_hashes(d, start, end, powers), first, k))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(hf.astype(np.int32)), pa.array(kit.signed(h)))], names=["_id", "set"])
 
-    return docs.mapInArrow(run, "_id long, set array<long>")
+    return docs.mapInArrow(kit.tidy(run), "_id long, set array<long>")
 
 
 def _orders(trees: int) -> np.ndarray:
@@ -101,7 +101,7 @@ def tree_labels(reps: DataFrame, trees: int) -> DataFrame:
                 (p4,) = _prefixes(_signatures(batch.column(1))[:, order], np.broadcast_to(np.arange(trees), (n, trees)), (4,))
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), trees)), pa.array(np.tile(np.arange(trees, dtype=np.int8), n)), pa.array(p4)], names=["rep", "tree", "p4"])
 
-    return reps.mapInArrow(run, "rep long, tree byte, p4 long")
+    return reps.mapInArrow(kit.tidy(run), "rep long, tree byte, p4 long")
 
 
 def deeper_labels(rows: DataFrame, reps: DataFrame, trees: int) -> DataFrame:
@@ -116,7 +116,7 @@ def deeper_labels(rows: DataFrame, reps: DataFrame, trees: int) -> DataFrame:
                 p6, p8 = _prefixes(values, tree, (6, 8))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p6), pa.array(p8)], names=["rep", "p6", "p8"])
 
-    return rows.join(reps.select(F.col("_id").alias("rep"), "sig"), "rep").select("rep", "tree", "sig").mapInArrow(run, "rep long, p6 long, p8 long")
+    return rows.join(reps.select(F.col("_id").alias("rep"), "sig"), "rep").select("rep", "tree", "sig").mapInArrow(kit.tidy(run), "rep long, p6 long, p8 long")
 
 
 def _regions(rows: DataFrame, key: str, small: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -142,7 +142,7 @@ def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, k: int, thresh
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), batch.column(1).take(pa.array(keep))], names=["a", "b"])
 
     seen = pairs.distinct().join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
-    cand = materialise(seen.select("a", "b", "sa", "sb").mapInArrow(agree, "a long, b long"), "candidates")
+    cand = materialise(seen.select("a", "b", "sa", "sb").mapInArrow(kit.tidy(agree), "a long, b long"), "candidates")
     need = cand.select(F.explode(F.array("a", "b")))
     sets = shingle_sets(by_ids(texts, need, "_id", "left_semi"), k, inside)
     sets = materialise(sets.dropDuplicates(["_id"]), "sets")
