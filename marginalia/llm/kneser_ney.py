@@ -26,6 +26,8 @@ from .store import by_ids, materialise
 
 QUANTILE, MARGIN, PRIOR, LEAST = 0.99, 0.10, 200, 20
 BITS = 6
+#: Bytes of text read at a time; n-grams cost about 25 bytes of memory for each.
+SLICE = 1 << 18
 
 
 def gram_classes() -> np.ndarray:
@@ -67,7 +69,7 @@ def train(texts: DataFrame) -> dict[str, np.ndarray] | None:
     def count(batches):
         for b in batches:
             data, offs = kit.buffers(b.column(0))
-            for _, _, d, o in kit.slices(data, offs, 4 << 20):
+            for _, _, d, o in kit.slices(data, offs, SLICE):
                 v = pa.array(grams(d, o, lut)).value_counts()
                 yield pa.RecordBatch.from_arrays([v.field("values"), v.field("counts")], names=["g", "n"])
 
@@ -114,7 +116,7 @@ def score(docs: DataFrame, model: dict, keys: list[str]) -> DataFrame:
         table = surprises(shared.value)  # for the task alone: idle workers hold no 64 MB beside later stages
         for b in batches:
             data, offs = kit.buffers(b.column(b.num_columns - 1))
-            for lo, hi, d, o in kit.slices(data, offs):
+            for lo, hi, d, o in kit.slices(data, offs, SLICE):
                 n = np.diff(o)
                 total = np.zeros(len(n))
                 if len(d):
