@@ -2,10 +2,10 @@
 
 Method: every distinct shingle set gets `trees` x 4 MinHash values. A tree sorts the sets by its own order of the
 values; sets that share a prefix of 4 values form a region. A region of up to `small` sets compares all of them; a
-larger one compares each set with its first, then descends: prefixes of 6, then 8 values, as deep as its own density
-asks. In regions still large at 8 values, sets that are not connected yet are compared with their neighbours of
-longest common prefix in the sorted order. Pairs whose MinHash agreement is under `screen` (six standard deviations
-below the threshold) go; all others are confirmed exactly. A pair at the threshold shares a region of some tree with
+larger one compares each set with its first and descends to prefixes of 6, then 8 values, which connects most of it at
+little cost. Pairs whose MinHash agreement is under `screen` (six standard deviations below the threshold) go; all
+others are confirmed exactly. Then all pairs of a crowded region that are not connected yet are compared exactly, in
+tiles of bounded size. So regions of any size compare all of their sets, and a pair at the threshold is compared with
 probability 1 - (1 - 0.8^4)^24 = 0.999997.
 
 Defined cases: a null or wordless text has no shingles and links with nothing; equal sets are one class and are not
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from . import kit
 from .components import components
 from .store import by_ids, discard, materialise
+from .tiles import crowd_links
 
 TREES, SMALL, SCREEN, SEED = 24, 32, 0.55, 17
 
@@ -165,24 +166,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     p4, h4, r4 = _regions(labels, "p4", small)
     discard(labels)
     p6, h6, r6 = _regions(deeper_labels(r4, reps, trees), "p6", small)
-    p8, h8, r8 = _regions(r6, "p8", small)
+    p8, h8, _ = _regions(r6, "p8", small)
     pairs = p4
     for x in (h4, p6, h6, p8, h8):
         pairs = pairs.union(x)
     links = materialise(verified(pairs, reps, texts, k, threshold, hashes, screen), "links")
     comp = materialise(components(links, "a", "b"), "components")
-    # what is still apart in the densest regions: neighbours in the sorted order
-    crowd = r8.join(comp.toDF("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
-    mixed = crowd.groupBy("p8").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("p8")
-    near = crowd.join(mixed, "p8").join(reps.select(F.col("_id").alias("rep"), "sig"), "rep")
-    more = None
-    for step in (1, 2, 3):
-        w = "over (partition by p8 order by sig, rep)"
-        x = near.selectExpr("rep", "c", f"lag(rep, {step}) {w} a", f"lag(c, {step}) {w} ca").where("a is not null and ca <> c").selectExpr("least(a, rep) a", "greatest(a, rep) b")
-        more = x if more is None else more.union(x)
-    more = materialise(more.distinct(), "more")
-    if not more.isEmpty():
-        links = links.union(materialise(verified(more, reps, texts, k, threshold, hashes, screen), "links"))
+    # what is still apart in a crowded region: all its pairs, on full sets
+    apart = lambda need: shingle_sets(by_ids(texts, need, "_id", "left_semi"), k).dropDuplicates(["_id"]).toDF("rep", "set")
+    more = crowd_links(r4.select(F.col("p4").alias("key"), "rep"), comp, apart, threshold)
+    if more is not None:
+        links = links.union(materialise(more, "links"))
         comp = materialise(components(links, "a", "b"), "components")
     named = sets.join(comp.toDF("rep", "c"), "rep", "left").select("k1", "k2", "n", F.coalesce("c", "rep").alias("c"))
     out = sigs.select("_id", "n", "k1", "k2").join(named, ["k1", "k2", "n"], "left").withColumn("c", F.when(F.col("n") > 0, F.col("c")))

@@ -318,3 +318,39 @@ def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert set(out.columns) == {"doc_id", "size", "source_size", "target", "taken"} and 0 < out.count() <= docs.count()
+
+
+def templated(rng, partners, core, slots, moved):
+    """Texts of one template with three-valued slots; each has a partner that differs in `moved` slots."""
+    head, seps = " ".join(f"core{i}" for i in range(core)), [f"sep{i}" for i in range(slots)]
+    out = []
+    for _ in range(partners):
+        v = [rng.randrange(3) for _ in seps]
+        w = list(v)
+        for i in rng.sample(range(slots), moved):
+            w[i] = (w[i] + rng.randint(1, 2)) % 3
+        out += [head + " " + " ".join(f"{s} v{s}x{x}" for s, x in zip(seps, u)) for u in (v, w)]
+    return out
+
+
+def brute_roots(texts, k, threshold):
+    """Components of all pairs by the Jaccard of their k-word shingles."""
+    number, sets = {}, []
+    for t in texts:
+        w = t.split()
+        sets.append({number.setdefault(tuple(w[i : i + k]), len(number)) for i in range(len(w) - k + 1)})
+    m = np.zeros((len(texts), len(number)), np.float32)
+    for i, s in enumerate(sets):
+        m[i, list(s)] = 1
+    both, n = m @ m.T, m.sum(axis=1)
+    hit = np.triu(100 * both >= threshold * (n[:, None] + n[None, :] - both), 1)
+    return roots(len(texts), zip(*np.nonzero(hit))), int(hit.sum())
+
+
+def test_lsh_forest_in_crowded_regions(spark):
+    texts = templated(random.Random(14), 1000, 121, 30, 9)
+    want, links = brute_roots(texts, 2, 80)
+    assert links >= 1000 and len(set(want)) > 500
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == want
