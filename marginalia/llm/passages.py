@@ -2,9 +2,9 @@
 
 Method: a paragraph is a line of at least `min_words` words. Its distinct 5-word shingles give 30 MinHash values in 10
 bands of 3, which catch a pair at Jaccard 0.8 with probability 1 - (1 - 0.8^3)^10 = 0.9992. Equal shingle sets are
-one class; colliding classes are joined (all pairs of a band of up to `small` classes, each class with the first and
-with its neighbours in signature order in a larger one), verified by exact Jaccard, and clustered by components; all
-but the first place of a cluster is removed. A passage that others embed in paragraphs of their own is found where it
+one class; colliding classes are joined (all pairs of a band; in one of more than `small` classes each class with the
+first, then in tiles of bounded size all pairs that are not connected yet), verified by exact Jaccard, and clustered by
+components; all but the first place of a cluster is removed. A passage that others embed in paragraphs of their own is found where it
 repeats to the word: lines are cut before each word whose hash is the least of the 5 words on either side, which cuts
 equal passages alike wherever they stand; pieces of at least `piece_words` words and `piece_bytes` bytes that an
 earlier place has are removed as well (a band over the whole piece: Jaccard 1). Touching spans are merged.
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from . import kit
 from .components import components
 from .store import by_ids, materialise
+from .tiles import crowd_links
 
 BANDS, ROWS, SHINGLE, MIN_WORDS, PIECE_WORDS, PIECE_BYTES, REACH, SMALL, SEED = 10, 3, 5, 8, 6, 40, 5, 16, 43
 
@@ -105,10 +106,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     pairs = few.select(F.explode(F.expr("flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> named_struct('a', x, 'b', y))))")).alias("p")).select("p.a", "p.b")
     many = own.where((F.col("n") > small) & (F.col("rep") != F.col("hub")))
     pairs = pairs.union(many.select(F.col("hub").alias("a"), F.col("rep").alias("b")))
-    # in a crowded band the order of the other bands brings like to like
-    crowd = own.where(F.col("n") > small).select("key", "rep").join(classes.select("rep", "bands"), "rep")
-    near = crowd.selectExpr("rep", "lag(rep) over (partition by key order by bands, rep) as a").where("a IS NOT NULL")
-    pairs = materialise(pairs.union(near.selectExpr("least(a, rep) AS a", "greatest(a, rep) AS b")).where("a <> b").distinct(), "pairs")
+    pairs = materialise(pairs.where("a <> b").distinct(), "pairs")
+    crowd = own.where(F.col("n") > small).select("key", "rep")
     need = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(classes.select("rep", "p"), "rep").select("rep", "p.*")
     need = materialise(need, "needed")
     # one place of each class is read again for its full set
@@ -117,7 +116,13 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     inter = F.size(F.array_intersect("x", "y"))
     links = both.where(inter * 100 >= (F.size("x") + F.size("y") - inter) * threshold).select("a", "b")
-    comp = components(links, "a", "b").toDF("rep", "c")
+    links = materialise(links, "links")
+    comp = materialise(components(links, "a", "b"), "components")
+    # what is still apart in a crowded band: all its pairs (every member is in a pair, with the hub at least)
+    more = crowd_links(crowd, comp, lambda reps: sets.join(reps, "rep", "left_semi"), threshold)
+    if more is not None:
+        comp = components(links.union(materialise(more, "links")), "a", "b")
+    comp = comp.toDF("rep", "c")
     led = classes.join(comp, "rep", "left").select("k1", "k2", "p", F.coalesce("c", "rep").alias("c"))
     heads = led.groupBy("c").agg(F.min("p").alias("first"))
     named = led.join(heads, "c").select("k1", "k2", "first")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from . import kit
 from .store import materialise
 
-WEIGHT, DOCS, COLUMNS = 1 << 16, 256, 4096
+WEIGHT, DOCS, COLUMNS = 1 << 17, 512, 4096
 
 
 def _common(codes: np.ndarray, doc: np.ndarray, a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:

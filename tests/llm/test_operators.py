@@ -354,3 +354,13 @@ def test_lsh_forest_in_crowded_regions(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(docs).collect()}
     assert [got[i] for i in range(len(texts))] == want
+
+
+def test_passages_in_crowded_bands(spark):
+    texts = templated(random.Random(15), 600, 124, 30, 3)
+    want, links = brute_roots(texts, 5, 80)
+    assert links >= 600 and len(set(want)) > 300
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = passages.repeats(docs).groupBy("doc_id").agg(F.max(F.when((F.col("start") == 0) & (F.col("first_start") == 0), F.struct("end", "first_id"))).alias("x"))
+    got = {r.doc_id: r.x.first_id for r in whole.collect() if r.x and r.x.end == len(texts[r.doc_id])}
+    assert [got.get(i, i) for i in range(len(texts))] == want
