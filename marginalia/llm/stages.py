@@ -13,10 +13,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the runs of lines that an earlier place has; those with nothing left go."""
-    from .winnowing import drop_repeated_runs
+    """Documents without the runs of lines and the single long lines that an earlier place has; those with nothing left
+    go."""
+    from .winnowing import MIN_BYTES, drop_repeated_runs
 
-    return drop_repeated_runs(docs)
+    return drop_repeated_runs(docs, line_bytes=MIN_BYTES)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

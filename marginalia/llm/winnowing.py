@@ -5,7 +5,8 @@ selected, so any run of that many lines has a fingerprint wherever it stands. Po
 it stands more than once, the windows around it are extended: a window of lines that an earlier place (in the order
 id, line) has too is a repeat, and overlapping repeats chain to maximal runs on both sides. All lines of a repeat go,
 which leaves the first place of every run of `window` lines. A run needs `min_bytes` bytes besides blanks, so that
-chance repeats of short lines stay. The joins are on hashes with the least place of each, never on pairs of places, so
+chance repeats of short lines stay. With `line_bytes` a single line of that many bytes besides blanks is a run too,
+whatever stands around it (the pipeline's rule; the operator's query keeps the rule of its SQL). The joins are on hashes with the least place of each, never on pairs of places, so
 a line that thousands of documents hold costs as many rows.
 
 Defined cases: lines end at a line feed; a null text has no lines and stays null; empty text is one empty line; a text
@@ -25,7 +26,7 @@ WINDOW, MIN_BYTES = 2, 40
 BROADCAST_TEXTS, BROADCAST_LINES = 1_000_000, 4_000_000
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, min_bytes: int = MIN_BYTES) -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, min_bytes: int = MIN_BYTES, line_bytes: int | None = None) -> DataFrame:
     """(_id, _key, gone): numbers, from 0, of the lines to delete in each text that has any; _key tells texts of one id
     apart."""
     rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
@@ -33,20 +34,30 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = rows.select("_id", "_key", F.transform("l", lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(x, F.lit(7)).alias("b"), F.octet_length(F.translate(x, " \t\r", "")).alias("n"))).alias("l"))
     at = F.sequence(F.lit(0), F.size("l") - window)
     one = lambda i: F.struct(i.alias("i"), F.slice("l", i + 1, window).alias("w"))
-    wins = rows.where(F.size("l") >= window).select("_id", "_key", F.explode(F.transform(at, one)).alias("x")).select("_id", "_key", "x.i", "x.w")
-    wins = wins.where(F.aggregate("w", F.lit(0), lambda s, x: s + x["n"]) >= min_bytes)
-    wins = materialise(wins.select("_id", "_key", "i", F.array_min(F.transform("w", lambda x: x["a"])).alias("fp"), F.xxhash64(F.transform("w", lambda x: x["a"])).alias("k1"), F.xxhash64(F.transform("w", lambda x: x["b"])).alias("k2")), "windows")
+    enough = F.aggregate("w", F.lit(0), lambda s, x: s + x["n"]) >= min_bytes
+    if line_bytes is None:
+        wins = rows.where(F.size("l") >= window).select("_id", "_key", F.explode(F.transform(at, one)).alias("x"))
+    else:
+        cut = lambda k: F.filter(F.transform("l", lambda _, i: F.struct(i.alias("i"), F.slice("l", i + 1, k).alias("w"))), lambda x: F.size(x["w"]) == k)
+        wins = rows.select("_id", "_key", F.explode(F.concat(cut(window), cut(1))).alias("x"))
+        enough = F.when(F.size("w") == 1, F.col("w")[0]["n"] >= line_bytes).otherwise(enough)
+    wins = wins.select("_id", "_key", "x.i", "x.w").where(enough)
+    length = [] if line_bytes is None else [F.size("w").alias("m")]
+    wins = materialise(wins.select("_id", "_key", "i", *length, F.array_min(F.transform("w", lambda x: x["a"])).alias("fp"), F.xxhash64(F.transform("w", lambda x: x["a"])).alias("k1"), F.xxhash64(F.transform("w", lambda x: x["b"])).alias("k2")), "windows")
     often = wins.groupBy("fp").agg(F.count("*").alias("c")).where("c > 1").select("fp")
     cand = wins.join(often, "fp", "left_semi")
     first = cand.groupBy("k1", "k2").agg(F.count("*").alias("c"), F.min(F.struct("_id", "_key", "i")).alias("f")).where("c > 1")
     later = cand.join(first, ["k1", "k2"]).where(F.struct("_id", "_key", "i") > F.col("f"))
+    if line_bytes is not None:
+        gone = later.select("_id", "_key", F.explode(F.sequence("i", F.col("i") + F.col("m") - 1)).alias("i")).groupBy("_id", "_key")
+        return gone.agg(F.array_sort(F.collect_set("i")).alias("gone"))
     lines = later.groupBy("_id", "_key").agg(F.collect_set("i").alias("at"))
     return lines.select("_id", "_key", F.array_sort(F.array_distinct(F.flatten(F.transform("at", lambda i: F.sequence(i, i + (window - 1)))))).alias("gone"))
 
 
-def _cut(docs: DataFrame, id_col: str, text_col: str, window: int, min_bytes: int) -> DataFrame:
+def _cut(docs: DataFrame, id_col: str, text_col: str, window: int, min_bytes: int, line_bytes: int | None = None) -> DataFrame:
     """docs with the text shortened, and _wl_n (lines) and _wl_gone (numbers of the deleted ones)."""
-    gone = materialise(repeated_lines(docs, id_col, text_col, window, min_bytes), "gone").toDF("_wl_id", "_wl_key", "_wl_gone")
+    gone = materialise(repeated_lines(docs, id_col, text_col, window, min_bytes, line_bytes), "gone").toDF("_wl_id", "_wl_key", "_wl_gone")
     size = gone.agg(F.count("*"), F.sum(F.size("_wl_gone"))).first()
     gone = F.broadcast(gone) if size[0] <= BROADCAST_TEXTS and (size[1] or 0) <= BROADCAST_LINES else gone
     own = docs.withColumn("_wl_hash", F.xxhash64(F.col(text_col).cast("string")))
@@ -65,7 +76,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return cut.withColumns({"n_lines": F.col("_wl_n"), "n_removed": F.size("_wl_gone").cast("long"), "removed": F.col("_wl_gone")}).drop("_wl_n", "_wl_gone")
 
 
-def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, min_bytes: int = MIN_BYTES) -> DataFrame:
+def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, min_bytes: int = MIN_BYTES, line_bytes: int | None = None) -> DataFrame:
     """docs with repeated runs cut; a document of which nothing but blanks is left goes, one that had nothing stays."""
-    cut = _cut(docs, id_col, text_col, window, min_bytes)
+    cut = _cut(docs, id_col, text_col, window, min_bytes, line_bytes)
     return cut.where((F.size("_wl_gone") == 0) | (F.length(F.trim(F.translate(text_col, "\n\t\r", ""))) > 0)).select(*docs.columns)

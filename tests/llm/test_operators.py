@@ -364,3 +364,28 @@ def test_passages_in_crowded_bands(spark):
     whole = passages.repeats(docs).groupBy("doc_id").agg(F.max(F.when((F.col("start") == 0) & (F.col("first_start") == 0), F.struct("end", "first_id"))).alias("x"))
     got = {r.doc_id: r.x.first_id for r in whole.collect() if r.x and r.x.end == len(texts[r.doc_id])}
     assert [got.get(i, i) for i in range(len(texts))] == want
+
+
+def test_line_dedup_of_single_lines(spark):
+    from marginalia.llm import stages
+
+    rng = random.Random(16)
+    a, long = words(rng, 14), words(rng, 60)
+    texts = [f"x{i}\n{long if i % 2 else a}\ny{i}" for i in range(30)] + [long, None, "", "ab", "ab", f"{a}\n{a}", f"u\nv\n{a}"]
+    texts += ["p\n" + "\n".join(["short one", "short two", "short three with some words and more"])] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    size = lambda x: len(re.sub("[ \t\r]", "", x).encode())
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        l = (t or "").split("\n")
+        runs = [(j, k, tuple(l[j : j + k])) for j in range(len(l)) for k in (1, 2) if j + k <= len(l)]
+        gone = set()
+        for j, k, run in runs:
+            if sum(map(size, run)) >= 40:
+                gone |= set(range(j, j + k)) if run in seen else set()
+                seen.add(run)
+        left = "\n".join(x for j, x in enumerate(l) if j not in gone)
+        if t is None or not gone or left.strip():
+            want[i] = t if t is None else left
+    got = {r.doc_id: r.text for r in stages.line_dedup(spark, docs, "").collect()}
+    assert got == want and got[3] == "x3\ny3" and 30 not in got
