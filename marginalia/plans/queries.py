@@ -508,8 +508,9 @@ def _terms(spark, sf):
     return terminology.terms(rows)
 
 
-def _mentions(spark, sf, text: str):
-    return table(spark, sf, "part").where("p_partkey % 10 = 0").selectExpr("cast(p_partkey AS string) AS mention_id", f"{text} AS mention", "'drug' AS concept_type")
+def _mentions(spark, sf, text: str, which: str = "p_partkey % 10 = 0"):
+    """Mentions of the parts that the SQL of a query takes; queries without SQL take all ("true")."""
+    return table(spark, sf, "part").where(which).selectExpr("cast(p_partkey AS string) AS mention_id", f"{text} AS mention", "'drug' AS concept_type")
 
 
 @query("SELECT p_partkey, lower(p_name) || ' ' || p_size || ' mg oral tablet' AS norm FROM part")
@@ -547,7 +548,7 @@ def f5_folded_lookup(spark, sf):
 
 @query()
 def f6_token_lookup(spark, sf):
-    return terminology.token_lookup(_mentions(spark, sf, "lower(p_name)"), _terms(spark, sf)).select("mention_id", "concept_id", "place")
+    return terminology.token_lookup(_mentions(spark, sf, "lower(p_name)", "true"), _terms(spark, sf)).select("mention_id", "concept_id", "place")
 
 
 @query("SELECT m.p_partkey AS mention, count(DISTINCT t.p_partkey) AS hits FROM part m JOIN part t ON m.p_size = t.p_size AND t.p_partkey % 4 IN (0, 2) WHERE m.p_partkey % 10 = 0 GROUP BY m.p_partkey")
@@ -558,7 +559,7 @@ def f7_strength_lookup(spark, sf):
 @query()
 def f8_fuzzy_lookup(spark, sf):
     t = terminology.terms(table(spark, sf, "supplier").selectExpr("s_suppkey AS ord", "concat('Rx', s_suppkey) AS concept_id", "s_name AS name", "'RxNorm' AS source", "'drug' AS semantic_type", "array() AS aliases", "'v' AS version", "'en' AS language", "'IN' AS term_type"))
-    m = table(spark, sf, "supplier").where("s_suppkey % 5 = 0").selectExpr("cast(s_suppkey AS string) AS mention_id", "concat(substring(s_name, 1, length(s_name) - 1), 'x') AS mention", "'drug' AS concept_type")
+    m = table(spark, sf, "supplier").selectExpr("cast(s_suppkey AS string) AS mention_id", "concat(substring(s_name, 1, length(s_name) - 1), 'x') AS mention", "'drug' AS concept_type")
     return terminology.fuzzy_lookup(m, t).select("mention_id", "concept_id", F.round("ratio", 3).alias("ratio"), "place")
 
 
@@ -579,7 +580,7 @@ def f10_variants(spark, sf):
 
 @query()
 def f11_strength_candidates(spark, sf):
-    return terminology.strength_candidates(_mentions(spark, sf, "concat(p_name, ' ', p_size, ' mg po daily')"), _terms(spark, sf)).select("mention_id", "concept_id", F.round("score", 6).alias("score"))
+    return terminology.strength_candidates(_mentions(spark, sf, "concat(p_name, ' ', p_size, ' mg po daily')", "true"), _terms(spark, sf)).select("mention_id", "concept_id", F.round("score", 6).alias("score"))
 
 
 @query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 0.04 WHEN 1 THEN -0.08 WHEN 2 THEN 0.02 ELSE -0.03 END AS score FROM part")
@@ -591,7 +592,7 @@ def f12_form_score(spark, sf):
 
 @query()
 def f13_candidate_cascade(spark, sf):
-    m = _mentions(spark, sf, "CASE WHEN p_partkey % 20 = 0 THEN concat(p_name, ' ', p_size, ' mg oral tablet') ELSE concat('brand ', p_name, ' ', p_partkey) END").where("cast(mention_id AS long) <= 500")
+    m = _mentions(spark, sf, "CASE WHEN p_partkey % 20 = 0 THEN concat(p_name, ' ', p_size, ' mg oral tablet') ELSE concat('brand ', p_name, ' ', p_partkey) END", "true")
     return terminology.candidates(m, _terms(spark, sf)).select("mention_id", "concept_id", "match_type", F.round("score", 6).alias("score"))
 
 
@@ -611,7 +612,7 @@ def f14_ranked(spark, sf):
 
 @query()
 def f15_contextual_score(spark, sf):
-    c = _cands(spark, sf).where("mention_id % 50 = 0").withColumn("context", F.concat_ws(" ", "name", "mention"))
+    c = _cands(spark, sf).withColumn("context", F.concat_ws(" ", "name", "mention"))
     return terminology.contextual(c).select("mention_id", "cand_ord", F.round("rank_score", 6).alias("rank_score"))
 
 
@@ -741,7 +742,7 @@ def h9_icd_aliases(spark, sf):
 
 @query()
 def h10_classifier_training(spark, sf):
-    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select(F.substring("text", 1, 360).alias("text"), F.when(F.col("quality") == 0, F.array(F.lit("isNegated"))).otherwise(F.array().cast("array<string>")).alias("assertions"))
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select("text", F.when(F.col("quality") == 0, F.array(F.lit("isNegated"))).otherwise(F.array().cast("array<string>")).alias("assertions"))
     models = assertion.train_classifiers(d, ["isNegated", "isFamily"], 1 << 12)
     return spark.createDataFrame([(k, len(v.stages)) for k, v in models.items()], "label string, stages int")
 

@@ -263,3 +263,23 @@ def test_library_stands_without_llm():
 
     code = "import sys; sys.modules['marginalia.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; assert len(e.queries()) > 80; assert 'pipeline' not in e.queries()"
     assert subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[1]).returncode == 0
+
+
+def test_queries_without_sql_read_whole_tables(spark, monkeypatch):
+    from marginalia.plans.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    rows = lambda t: spark.read.parquet(f"{sf}/{t}.parquet")
+    ids = lambda q: {r.mention_id for r in QUERIES[q](spark, sf).select("mention_id").distinct().collect()}
+    parts = {str(r.p_partkey) for r in rows("part").collect()}
+    assert ids("f6_token_lookup") == parts and ids("f13_candidate_cascade") == parts
+    assert ids("f8_fuzzy_lookup") == {str(r.s_suppkey) for r in rows("supplier").collect()}
+    assert QUERIES["f15_contextual_score"](spark, sf).count() == rows("lineitem").count()
+    # at least these are linked to a term of their own strength
+    assert {p for p in parts if int(p) % 4 == 0} <= ids("f11_strength_candidates")
+    seen = []
+    train = assertion.train_classifiers
+    monkeypatch.setattr(assertion, "train_classifiers", lambda d, *a: seen.append(d) or train(d, *a))
+    QUERIES["h10_classifier_training"](spark, sf)
+    want = rows("documents").join(rows("labels"), "doc_id")
+    assert sorted(r.text or "" for r in seen[0].collect()) == sorted(r.text or "" for r in want.collect())
