@@ -67,8 +67,14 @@ def slices(data: np.ndarray, offs: np.ndarray, slice_bytes: int = SLICE_BYTES):
         lo = hi
 
 
-def words(data: np.ndarray, offs: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and number of the text of every maximal run of bytes in `inside`; runs end with their text."""
+#: First bytes of the characters of scripts that set no blanks between words (U+3000 to U+DFFF, three bytes each).
+UNSPACED = np.zeros(256, bool)
+UNSPACED[0xE3:0xEE] = True
+
+
+def words(data: np.ndarray, offs: np.ndarray, inside: np.ndarray, alone: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and number of the text of every maximal run of bytes in `inside`; runs end with their text. Characters
+    of three bytes whose first is in `alone` are words by themselves."""
     if not len(data):
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offs), np.int64)
@@ -77,7 +83,13 @@ def words(data: np.ndarray, offs: np.ndarray, inside: np.ndarray) -> tuple[np.nd
     edge[offs] = True
     before = np.concatenate(([False], m[:-1])) & ~edge[:-1]
     after = np.concatenate((m[1:], [False])) & ~edge[1:]
-    start = np.flatnonzero(m & ~before)
+    begins = m & ~before
+    if alone is not None:
+        lead = m & alone[data]
+        begins |= lead
+        begins[3:] |= lead[:-3] & m[3:]
+        after &= ~np.concatenate((begins[1:], [False]))
+    start = np.flatnonzero(begins)
     end = np.flatnonzero(m & ~after) + 1
     first = np.searchsorted(start, offs)  # of each text, in start
     return start, end, first
@@ -146,6 +158,13 @@ def distinct_by_text(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.n
     return h[keep], np.searchsorted(doc[keep], np.arange(n + 1))
 
 
+def set_sums(h: np.ndarray, first: np.ndarray, salt: int) -> np.ndarray:
+    """A 64-bit hash of each text's set of distinct hashes: the sum of their mixed values."""
+    with np.errstate(over="ignore"):
+        run = np.concatenate(([np.uint64(0)], np.cumsum(mix(h ^ np.uint64(salt)), dtype=np.uint64)))
+        return mix(run[first[1:]] - run[first[:-1]]).view(np.int64)
+
+
 def minhash(h: np.ndarray, first: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """Minimum of each seeded 32-bit hash over each text's shingles: (texts, seeds); texts without any get all ones."""
     n = len(first) - 1
