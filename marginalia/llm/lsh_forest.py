@@ -8,9 +8,10 @@ others are confirmed exactly. Then all pairs of a crowded region that are not co
 tiles of bounded size. So regions of any size compare all of their sets, and a pair at the threshold is compared with
 probability 1 - (1 - 0.8^4)^24 = 0.999997.
 
-Defined cases: a null or wordless text has no shingles and links with nothing; equal sets are one class and are not
-expanded into pairs; a null id gives a null component and is kept; repeated ids give one row per input row, all with
-the same answer for equal texts; an empty table gives an empty result; other columns of the input are not read.
+Defined cases: a null or wordless text has no shingles and links with nothing; equal sets are one class, named by a
+64-bit hash of the set, and are not expanded into pairs; a null id gives a null component and is kept; repeated ids give
+one row per input row: equal texts the same answer, other texts that of their own set; a component is named by the least
+id that any of its texts has; an empty table gives an empty result; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def signatures(docs: DataFrame, k: int, hashes: int, seed: int = SEED, inside: np.ndarray = kit.NONSPACE) -> DataFrame:
-    """(_id, n, k1, k2, sig) from (_id, _text): size of the set of k-word shingles (A-Z lowered), two 64-bit sums that
-    name the set, and the MinHash values as little-endian 32-bit integers."""
+    """(_id, n, k1, sig) from (_id, _text): size of the set of k-word shingles (A-Z lowered), a 64-bit sum that names
+    the set, and the MinHash values as little-endian 32-bit integers."""
 
     def run(batches):
         powers, seeds = kit.Powers(), kit.seeds(hashes, seed)
@@ -44,30 +45,27 @@ def signatures(docs: DataFrame, k: int, hashes: int, seed: int = SEED, inside: n
                 d = kit.LOWER[d]
                 start, end, first = kit.words(d, o, inside)
                 h, hf = kit.distinct_by_text(*kit.shingles(kit.span_hashes(d, start, end, powers), first, k))
-                with np.errstate(over="ignore"):
-                    sums = [np.concatenate(([np.uint64(0)], np.cumsum(kit.mix(h ^ np.uint64(x)), dtype=np.uint64))) for x in (0x51, 0xA7F3)]
-                    k1, k2 = ((s[hf[1:]] - s[hf[:-1]]).view(np.int64) for s in sums)
                 sig = kit.minhash(h, hf, seeds)
                 flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * hashes), hi - lo, [None, pa.py_buffer(sig.tobytes())])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(hf)), pa.array(k1), pa.array(k2), flat.cast(pa.binary())], names=["_id", "n", "k1", "k2", "sig"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(hf)), pa.array(kit.set_sums(h, hf, 0x51)), flat.cast(pa.binary())], names=["_id", "n", "k1", "sig"])
 
-    return docs.mapInArrow(kit.tidy(run), "_id long, n long, k1 long, k2 long, sig binary")
+    return docs.mapInArrow(kit.tidy(run), "_id long, n long, k1 long, sig binary")
 
 
 def shingle_sets(docs: DataFrame, k: int, inside: np.ndarray = kit.NONSPACE) -> DataFrame:
-    """(_id, set array<long>) of the distinct shingle hashes."""
+    """(rep, set array<long>) of the distinct shingle hashes and their sum k1 of signatures()."""
 
     def run(batches):
         powers = kit.Powers()
         for batch in batches:
             data, offs = kit.buffers(batch.column(1))
-            for lo, hi, d, o in kit.slices(data, offs):
+            for _, _, d, o in kit.slices(data, offs):
                 d = kit.LOWER[d]
                 start, end, first = kit.words(d, o, inside)
                 h, hf = kit.distinct_by_text(*kit.shingles(kit.span_hashes(d, start, end, powers), first, k))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(hf.astype(np.int32)), pa.array(kit.signed(h)))], names=["_id", "set"])
+                yield pa.RecordBatch.from_arrays([pa.array(kit.set_sums(h, hf, 0x51)), pa.ListArray.from_arrays(pa.array(hf.astype(np.int32)), pa.array(kit.signed(h)))], names=["rep", "set"])
 
-    return docs.mapInArrow(kit.tidy(run), "_id long, set array<long>")
+    return docs.mapInArrow(kit.tidy(run), "rep long, set array<long>")
 
 
 def _orders(trees: int) -> np.ndarray:
@@ -117,7 +115,7 @@ def deeper_labels(rows: DataFrame, reps: DataFrame, trees: int) -> DataFrame:
                 p6, p8 = _prefixes(values, tree, (6, 8))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p6), pa.array(p8)], names=["rep", "p6", "p8"])
 
-    return rows.join(reps.select(F.col("_id").alias("rep"), "sig"), "rep").select("rep", "tree", "sig").mapInArrow(kit.tidy(run), "rep long, p6 long, p8 long")
+    return rows.join(reps.select("rep", "sig"), "rep").select("rep", "tree", "sig").mapInArrow(kit.tidy(run), "rep long, p6 long, p8 long")
 
 
 def _regions(rows: DataFrame, key: str, small: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -132,9 +130,16 @@ def _regions(rows: DataFrame, key: str, small: int) -> tuple[DataFrame, DataFram
     return pairs, big.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")), big.select(*rows.columns)
 
 
-def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, k: int, threshold: int, hashes: int, screen: float, inside: np.ndarray = kit.NONSPACE) -> DataFrame:
+def _full_sets(texts: DataFrame, reps: DataFrame, need: DataFrame, k: int) -> DataFrame:
+    """(rep, set) of the classes in the one-column table `need`: one text of each is read again. Other texts that share
+    its id give sets that nothing asks for."""
+    ids = need.toDF("rep").distinct().join(reps.select("rep", "first"), "rep").select("first")
+    return shingle_sets(by_ids(texts, ids, "_id", "left_semi"), k).dropDuplicates(["rep"])
+
+
+def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, k: int, threshold: int, screen: float) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= threshold * union of their full sets."""
-    sig = reps.select(F.col("_id").alias("rep"), "sig")
+    sig = reps.select("rep", "sig")
 
     def agree(batches):
         for batch in batches:
@@ -142,11 +147,9 @@ def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, k: int, thresh
             keep = np.flatnonzero((x == y).mean(axis=1) >= screen) if batch.num_rows else np.zeros(0, int)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), batch.column(1).take(pa.array(keep))], names=["a", "b"])
 
-    seen = pairs.distinct().join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
+    seen = pairs.distinct().join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b")
     cand = materialise(seen.select("a", "b", "sa", "sb").mapInArrow(kit.tidy(agree), "a long, b long"), "candidates")
-    need = cand.select(F.explode(F.array("a", "b")))
-    sets = shingle_sets(by_ids(texts, need, "_id", "left_semi"), k, inside)
-    sets = materialise(sets.dropDuplicates(["_id"]), "sets")
+    sets = materialise(_full_sets(texts, reps, cand.select(F.explode(F.array("a", "b"))), k), "sets")
     both = cand.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     inter = F.size(F.array_intersect("x", "y"))
     return both.select("a", "b", inter.alias("i"), (F.size("x") + F.size("y") - inter).alias("u")).where(F.col("i") * 100 >= F.col("u") * threshold).select("a", "b")
@@ -155,14 +158,11 @@ def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, k: int, thresh
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 2, threshold: int = 80, trees: int = TREES, small: int = SMALL, screen: float = SCREEN) -> DataFrame:
     """(id_col, n_shingles, component_id, kept), one row for each input row."""
     texts = _texts(docs, id_col, text_col)
-    hashes = 4 * trees
-    sigs = materialise(signatures(texts, k, hashes), "signatures")
+    sigs = materialise(signatures(texts, k, 4 * trees), "signatures")
     full = sigs.where("n > 0 AND _id IS NOT NULL")
-    sets = materialise(full.groupBy("k1", "k2", "n").agg(F.min("_id").alias("rep")), "classes")
-    # a repeated id may stand for several texts; one of them represents it
-    reps = full.join(sets, ["k1", "k2", "n"], "left_semi").join(sets.select(F.col("rep").alias("_id"), "k1", "k2", "n"), ["_id", "k1", "k2", "n"], "left_semi").select("_id", "sig").dropDuplicates(["_id"])
-    reps = materialise(reps, "representatives")
-    labels = materialise(tree_labels(reps, trees), "labels")
+    # a set has one signature, whichever of its texts it is taken from
+    reps = materialise(full.groupBy(F.col("k1").alias("rep")).agg(F.min("_id").alias("first"), F.first("sig").alias("sig")), "classes")
+    labels = materialise(tree_labels(reps.select("rep", "sig"), trees), "labels")
     p4, h4, r4 = _regions(labels, "p4", small)
     discard(labels)
     p6, h6, r6 = _regions(deeper_labels(r4, reps, trees), "p6", small)
@@ -170,17 +170,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = p4
     for x in (h4, p6, h6, p8, h8):
         pairs = pairs.union(x)
-    links = materialise(verified(pairs, reps, texts, k, threshold, hashes, screen), "links")
+    links = materialise(verified(pairs, reps, texts, k, threshold, screen), "links")
     comp = materialise(components(links, "a", "b"), "components")
     # what is still apart in a crowded region: all its pairs, on full sets
-    apart = lambda need: shingle_sets(by_ids(texts, need, "_id", "left_semi"), k).dropDuplicates(["_id"]).toDF("rep", "set")
-    more = crowd_links(r4.select(F.col("p4").alias("key"), "rep"), comp, apart, threshold)
+    more = crowd_links(r4.select(F.col("p4").alias("key"), "rep"), comp, lambda need: _full_sets(texts, reps, need, k), threshold)
     if more is not None:
         links = links.union(materialise(more, "links"))
         comp = materialise(components(links, "a", "b"), "components")
-    named = sets.join(comp.toDF("rep", "c"), "rep", "left").select("k1", "k2", "n", F.coalesce("c", "rep").alias("c"))
-    out = sigs.select("_id", "n", "k1", "k2").join(named, ["k1", "k2", "n"], "left").withColumn("c", F.when(F.col("n") > 0, F.col("c")))
-    c = F.when(F.col("_id").isNotNull(), F.coalesce("c", "_id"))
+    named = comp.toDF("rep", "c").join(reps.select("rep", "first"), "rep")
+    heads = named.groupBy("c").agg(F.min("first").alias("head"))
+    led = reps.select("rep", "first").join(named.join(heads, "c").select("rep", "head"), "rep", "left").select(F.col("rep").alias("k1"), F.coalesce("head", "first").alias("c"))
+    # texts without shingles, however many, meet nothing and are dealt by their id
+    out = sigs.select("_id", "n", F.when(F.col("n") > 0, F.col("k1")).otherwise(F.xxhash64("_id")).alias("k1")).join(led, "k1", "left")
+    c = F.when(F.col("_id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("c")), F.col("_id")))
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), c.alias("component_id"), F.coalesce(c == F.col("_id"), F.lit(True)).alias("kept"))
 
 

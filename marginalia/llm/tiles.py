@@ -1,10 +1,12 @@
 """All pairs of crowded groups, in tiles of bounded size.
 
-Method: members of one group are ordered by (component, member) and cut into tiles of at most `docs` members and about
-`weight` hashes. Every two tiles of a group meet in a task of their own, unless all their members are of one component
-already. A task counts the common hashes of all its pairs exactly and gives the links between components as a spanning
-forest, which is all that components need. No pair of a group is left out; the tile pairs grow as the square of what
-a group holds besides its largest component.
+Method: members of one group are ordered by (component, size of set, member) and cut into tiles of at most `docs`
+members and about `weight` hashes. Every two tiles of a group meet in a task of their own, unless all their members are
+of one component already, or their sizes are so far apart that no set of one can reach the threshold with one of the
+other. Where one tile is of a single component, the other sends only its members of other components. A task counts the
+common hashes of all its pairs exactly and gives the links between components as a spanning forest, which is all that
+components need. No pair of two components that can link is left out; the tile pairs grow as the square of what a group
+holds besides its largest component.
 """
 
 from __future__ import annotations
@@ -70,6 +72,8 @@ def _tile_links(table: pa.Table, threshold: int) -> pa.Table:
     codes = np.unique(sets.flatten().to_numpy(), return_inverse=True)[1]
     doc = np.repeat(np.arange(len(size)), size)
     a, b = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
+    if not len(a) or not len(b):
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
     both = _common(codes, doc, a, b, len(size))
     hit = (both * 100 >= (size[a][:, None] + size[b][None, :] - both) * threshold) & (c[a][:, None] != c[b][None, :])
     x, y = np.nonzero(hit)
@@ -88,13 +92,17 @@ def crowd_links(crowd: DataFrame, comp: DataFrame, sets: Callable[[DataFrame], D
         return None
     own = materialise(sets(rows.select("rep").distinct()), "crowd_sets")
     step = weight // docs
-    cut = F.expr(f"cast((sum(n + {step}) over (partition by key order by c, rep) - 1) div {weight} as int)")
+    cut = F.expr(f"cast((sum(n + {step}) over (partition by key order by c, n, rep) - 1) div {weight} as int)")
     tiles = rows.join(own.select("rep", F.size("set").alias("n")), "rep").withColumn("tile", cut)
-    tiles = materialise(tiles.select("key", "tile", "rep", "c"), "tiles")
-    span = tiles.groupBy("key", "tile").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-    x, y = span.toDF("key", "i", "xl", "xh"), span.toDF("key", "j", "yl", "yh")
-    meet = x.join(y, "key").where("i <= j AND NOT (xl = xh AND yl = yh AND xl = yl)").select("key", "i", "j")
-    meet = meet.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("tile"))
-    placed = meet.join(tiles, ["key", "tile"]).join(own, "rep").select("key", "i", "j", "tile", "c", "set")
+    tiles = materialise(tiles.select("key", "tile", "rep", "c", "n"), "tiles")
+    span = tiles.groupBy("key", "tile").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("n").alias("least"), F.max("n").alias("most"))
+    x, y = span.toDF("key", "i", "xl", "xh", "xn", "xm"), span.toDF("key", "j", "yl", "yh", "yn", "ym")
+    near = f"xm * 100 >= yn * {threshold} AND ym * 100 >= xn * {threshold}"
+    meet = x.join(y, "key").where(f"i <= j AND NOT (xl = xh AND yl = yh AND xl = yl) AND {near}")
+    # `without`: the one component of the tile that it meets
+    side = lambda a, b, l, h: F.struct(F.col(a).alias("tile"), F.when((F.col("i") < F.col("j")) & (F.col(l) == F.col(h)), F.col(l)).alias("without"))
+    meet = meet.select("key", "i", "j", F.explode(F.array_distinct(F.array(side("i", "j", "yl", "yh"), side("j", "i", "xl", "xh")))).alias("s")).select(F.col("key").alias("k"), "i", "j", F.col("s.tile").alias("t"), "s.without")
+    placed = meet.join(tiles, (F.col("k") == F.col("key")) & (F.col("t") == F.col("tile")) & (F.col("without").isNull() | (F.col("without") != F.col("c"))))
+    placed = placed.select("key", "i", "j", "tile", "c", "rep").join(own, "rep").select("key", "i", "j", "tile", "c", "set")
 
     return placed.groupBy("key", "i", "j").applyInArrow(lambda t: _tile_links(t, threshold), "a long, b long").distinct()
