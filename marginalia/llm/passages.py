@@ -4,29 +4,36 @@ Method: a paragraph is a line of at least `min_words` words. Its distinct 5-word
 bands of 3, which catch a pair at Jaccard 0.8 with probability 1 - (1 - 0.8^3)^10 = 0.9992. Equal shingle sets are
 one class; colliding classes are joined (all pairs of a band; in one of more than `small` classes each class with the
 first, then in tiles of bounded size all pairs that are not connected yet), verified by exact Jaccard, and clustered by
-components; all but the first place of a cluster is removed. A passage that others embed in paragraphs of their own is found where it
-repeats to the word: lines are cut before each word whose hash is the least of the 5 words on either side, which cuts
-equal passages alike wherever they stand; pieces of at least `piece_words` words and `piece_bytes` bytes that an
-earlier place has are removed as well (a band over the whole piece: Jaccard 1). Touching spans are merged.
-
-Defined cases: places are ordered by (id, byte). Words are runs of bytes other than white space, A-Z lowered. Null and
-empty texts have no paragraphs; null ids are not read; texts that repeat an id are read as further places of that id; an
-empty table gives an empty result; other columns are not read.
+components; all but the first place of a cluster is removed.
+
+Banding can't see a passage that others embed in paragraphs of their own, so a second path, outside the method named,
+finds those that repeat to the word: lines are cut before each word whose hash is the least of the 5 words on either
+side, which cuts equal passages alike wherever they stand. Pieces of at least `piece_words` words and `piece_bytes`
+bytes that an earlier place has (a band over the whole piece: Jaccard 1) chain to runs where they touch at both places;
+a run of `seed_words` words or more is a seed. Seeds are extended word by word to either side, by up to `context` words,
+as long as both places agree, and removed if they then have `min_words` words. Each removed word has an equal one at an
+earlier place, so its first place stays. Touching spans are merged.
+
+Defined cases: places are ordered by (id, byte). Words are runs of bytes other than white space, A-Z lowered; each
+character of a script without blanks between words is one. Null and empty texts have no paragraphs; null ids are not
+read; texts that repeat an id are read as further places of that id; an empty table gives an empty result; other columns
+are not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kit
 from .components import components
-from .store import by_ids, materialise
+from .store import BROADCAST_IDS, by_ids, materialise
 from .tiles import crowd_links
 
-BANDS, ROWS, SHINGLE, MIN_WORDS, PIECE_WORDS, PIECE_BYTES, REACH, SMALL, SEED = 10, 3, 5, 8, 6, 40, 5, 16, 43
+BANDS, ROWS, SHINGLE, MIN_WORDS, PIECE_WORDS, PIECE_BYTES, REACH, SMALL, SEED = 10, 3, 5, 20, 6, 40, 5, 16, 43
+SEED_WORDS, CONTEXT = 12, 32
 
 
 def _lines(d: np.ndarray, o: np.ndarray):
@@ -57,7 +64,7 @@ def _units(batches, what: str):
         for lo, _hi, d, o in kit.slices(data, offs):
             ls, le, text = _lines(d, o)
             low = kit.LOWER[d]
-            ws, we, wf = kit.words(low, o, kit.NONSPACE)
+            ws, we, _ = kit.words(low, o, kit.NONSPACE, kit.UNSPACED)
             h = kit.span_hashes(low, ws, we, powers)
             first = np.searchsorted(ws, np.append(ls, len(d)))
             count = np.diff(first)
@@ -71,7 +78,7 @@ def _units(batches, what: str):
                 with np.errstate(over="ignore"):
                     run = np.concatenate(([np.uint64(0)], np.cumsum(kit.mix(h) * powers.get(len(h) + 1)[0][:-1], dtype=np.uint64)))
                     key = kit.mix((run[nxt] - run[cut]) * powers.get(len(h) + 1)[1][cut])
-                yield pa.RecordBatch.from_arrays([pa.array(ids[lo + text[line]]), pa.array((ws[cut] - o[text[line]]).astype(np.int32)), pa.array((we[nxt - 1] - o[text[line]]).astype(np.int32)), pa.array(key.view(np.int64))], names=["id", "s", "e", "k1"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[lo + text[line]]), pa.array((ws[cut] - o[text[line]]).astype(np.int32)), pa.array((we[nxt - 1] - o[text[line]]).astype(np.int32)), pa.array((nxt - cut).astype(np.int32)), pa.array(key.view(np.int64))], names=["id", "s", "e", "n", "k1"])
                 continue
             keep = np.flatnonzero(count >= MIN_WORDS)
             # words of the kept lines, end to end
@@ -96,7 +103,7 @@ def _units(batches, what: str):
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80, small: int = SMALL) -> DataFrame:
     """(id_col, start, end, first_id, first_start): every span, in bytes, that repeats an earlier place; unmerged."""
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    lines = materialise(rows.mapInArrow(lambda b: _units(b, "lines"), "id long, s int, e int, k1 long, k2 long, bands array<long>"), "lines")
+    lines = materialise(rows.mapInArrow(kit.tidy(lambda b: _units(b, "lines")), "id long, s int, e int, k1 long, k2 long, bands array<long>"), "lines")
     place = F.struct("id", "s", "e")
     classes = materialise(lines.groupBy("k1", "k2").agg(F.min(place).alias("p"), F.count("*").alias("n"), F.first("bands").alias("bands")).withColumn("rep", F.xxhash64("k1", "k2")), "classes")
     hashed = classes.select("rep", F.explode("bands").alias("key"))
@@ -127,12 +134,73 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     heads = led.groupBy("c").agg(F.min("p").alias("first"))
     named = led.join(heads, "c").select("k1", "k2", "first")
     out = lines.select("id", "s", "e", "k1", "k2").join(named, ["k1", "k2"]).where(place > F.col("first")).select("id", "s", "e", "first")
-    pieces = materialise(rows.mapInArrow(lambda b: _units(b, "pieces"), "id long, s int, e int, k1 long"), "pieces")
-    often = pieces.groupBy("k1").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select("k1", "first")
-    more = pieces.join(often, "k1").where(place > F.col("first")).select("id", "s", "e", "first")
+    more = _embedded(rows)
     return out.union(more).select(F.col("id").alias(id_col), F.col("s").alias("start"), F.col("e").alias("end"), F.col("first.id").alias("first_id"), F.col("first.s").alias("first_start"))
 
 
+def _contexts(batches):
+    """(id, s, e, and the hashes and bounds of up to CONTEXT words before s and behind e, nearest first) of rows (id,
+    text, want array<struct<s,e>>)."""
+    powers = kit.Powers()
+    for b in batches:
+        data, offs = kit.buffers(b.column(1))
+        ids = b.column(0).to_numpy(zero_copy_only=False)
+        want = b.column(2)
+        place, at = want.flatten(), want.offsets.to_numpy().astype(np.int64)
+        s, e, at = place.field(0).to_numpy().astype(np.int64), place.field(1).to_numpy().astype(np.int64), at - at[0]
+        for lo, hi, d, o in kit.slices(data, offs):
+            low = kit.LOWER[d]
+            ws, we, wf = kit.words(low, o, kit.NONSPACE, kit.UNSPACED)
+            h = kit.span_hashes(low, ws, we, powers).astype(np.uint32).view(np.int32)
+            mine = slice(at[lo], at[hi])
+            text = np.repeat(np.arange(hi - lo), np.diff(at[lo : hi + 1]))
+            begin, end = s[mine] + o[text], e[mine] + o[text]
+            columns = [pa.array(ids[lo + text]), pa.array(s[mine].astype(np.int32)), pa.array(e[mine].astype(np.int32))]
+            first = np.searchsorted(ws, begin)
+            last = np.searchsorted(ws, end)
+            for n, step, origin in ((np.minimum(first - wf[text], CONTEXT), -1, first - 1), (np.minimum(wf[text + 1] - last, CONTEXT), 1, last)):
+                n = np.maximum(n, 0)
+                cut = np.concatenate(([0], np.cumsum(n)))
+                k = np.repeat(origin, n) + step * (np.arange(cut[-1]) - np.repeat(cut[:-1], n))
+                bound = ((ws if step < 0 else we)[k] - np.repeat(o[text], n)).astype(np.int32)
+                lists = pa.array(cut.astype(np.int32))
+                columns += [pa.ListArray.from_arrays(lists, pa.array(h[k])), pa.ListArray.from_arrays(lists, pa.array(bound))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "s", "e", "lh", "lb", "rh", "rb"])
+
+
+def _embedded(rows: DataFrame) -> DataFrame:
+    """(id, s, e, first struct<id,s,e>): passages inside paragraphs that an earlier place has word for word."""
+    place = F.struct("id", "s", "e")
+    pieces = materialise(rows.mapInArrow(kit.tidy(lambda b: _units(b, "pieces")), "id long, s int, e int, n int, k1 long"), "pieces")
+    often = pieces.groupBy("k1").agg(F.count("*").alias("c"), F.min(place).alias("first")).where("c > 1").select("k1", "first")
+    later = pieces.join(often, "k1").where(place > F.col("first")).select("id", "s", "e", "n", F.col("first.id").alias("fid"), F.col("first.s").alias("fs"), F.col("first.e").alias("fe"))
+    order = Window.partitionBy("id").orderBy("s", "fid", "fs", "e")
+    before = lambda c: F.lag(c).over(order)
+    touch = (before("fid") == F.col("fid")) & (F.col("s") - before("e") <= 2) & (F.col("fs") - before("fe") <= 2) & (F.col("s") - before("s") == F.col("fs") - before("fs"))
+    chained = later.withColumn("new", F.when(F.coalesce(touch, F.lit(False)), 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
+    runs = chained.groupBy("id", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("n").alias("n"), F.min("fid").alias("fid"), F.min("fs").alias("fs"), F.max("fe").alias("fe"))
+    seeds = materialise(runs.where(F.col("n") >= SEED_WORDS).drop("run"), "seeds")
+    both = seeds.select("id", "s", "e").union(seeds.select("fid", "fs", "fe")).distinct()
+    want = materialise(both.groupBy("id").agg(F.collect_list(F.struct("s", "e")).alias("want")), "wanted")
+    held = want.agg(F.sum(16 + 8 * F.size("want"))).first()[0] or 0
+    texts = rows.join(F.broadcast(want) if held <= BROADCAST_IDS else want, "id").select("id", "text", "want")
+    around = texts.mapInArrow(kit.tidy(_contexts), "id long, s int, e int, lh array<int>, lb array<int>, rh array<int>, rb array<int>")
+    # a repeated id may have several texts with words at the same place; one of them stands for it, always the same
+    around = materialise(around.groupBy("id", "s", "e").agg(F.min(F.struct("lh", "lb", "rh", "rb")).alias("a")).select("id", "s", "e", "a.*"), "contexts")
+    own, other = around, around.select(F.col("id").alias("fid"), F.col("s").alias("fs"), F.col("e").alias("fe"), F.col("lh").alias("flh"), F.col("lb").alias("flb"), F.col("rh").alias("frh"))
+
+    def agreeing(x, y):
+        """How many words agree from the first on."""
+        same = F.zip_with(x, y, lambda p, q: F.coalesce(p == q, F.lit(False)))
+        at = F.array_position(same, False)
+        return F.when(at == 0, F.size(same)).otherwise(at - 1).cast("int")
+
+    j = seeds.join(own, ["id", "s", "e"]).join(other, ["fid", "fs", "fe"])
+    j = j.withColumns({"l": agreeing("lh", "flh"), "r": agreeing("rh", "frh")}).where(F.col("n") + F.col("l") + F.col("r") >= MIN_WORDS)
+    pick = lambda c, n, plain: F.when(F.col(n) > 0, F.get(F.col(c), F.col(n) - 1)).otherwise(F.col(plain))
+    return j.select("id", pick("lb", "l", "s").alias("s"), pick("rb", "r", "e").alias("e"), F.struct(F.col("fid").alias("id"), pick("flb", "l", "fs").alias("s"), F.col("fe").alias("e")).alias("first"))
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """(id_col, n_spans, removed_bytes, spans, first_ids): one row for each text with repeats; spans are the merged
     byte ranges to remove, first_ids the texts that keep them."""
