@@ -7,10 +7,12 @@ most 64^4 rows however much text there is (that is why the units are classes of
 of bounded size (64 MB in a worker), and the join of a document's n-grams with it is a lookup while the document is
 read. Every byte of every document is scored. A document is rejected when its mean surprise, shrunk towards the
 trusted mean of its language by `prior` bytes (short texts say little), is above the language's quantile of the same
-figure over trusted documents by more than `margin` nats.
+figure over trusted documents by more than `margin` nats. Means and quantiles come from one of `FOLDS` parts of the
+trusted documents (by a hash of the id), which the model isn't trained on: text that a model has seen surprises it less.
 
-Defined cases: a null or empty text has no surprise and is kept; a language with fewer than `least` trusted documents,
-or none named, takes the threshold of all trusted documents; without trusted text nothing is rejected; labels with
+Defined cases: a null or empty text has no surprise and is kept; a language with fewer than `least` trusted documents
+held out, or none named, takes the threshold of all that are held out; where those are fewer than `least`, all trusted
+documents serve for both; without trusted text nothing is rejected; labels with
 null ids or repeated ids count once; repeated documents are separate rows; extra columns stay and are not read.
 """
 
@@ -22,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kit
-from .store import by_ids, materialise
+from .store import bounded, by_ids, materialise
 
-QUANTILE, MARGIN, PRIOR, LEAST = 0.99, 0.10, 200, 20
+QUANTILE, MARGIN, PRIOR, LEAST, FOLDS = 0.99, 0.02, 200, 20, 5
 BITS = 6
 #: Bytes of text read at a time; n-grams cost about 25 bytes of memory for each.
 SLICE = 1 << 18
@@ -133,19 +135,23 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     doc_id, quality and toxic, and trusted documents are those of quality 1 that are not toxic."""
     trusted = labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select(F.col("doc_id").alias("_id"))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).cast("string").alias("_text"))
-    model = train(by_ids(rows, trusted, "_id", "left_semi").select("_text"))
+    chosen = by_ids(rows, trusted, "_id", "left_semi")
+    apart = F.pmod(F.xxhash64("_id"), F.lit(FOLDS)) == 0
+    split = chosen.where(apart & (F.length("_text") > 0)).count() >= least
+    model = train((chosen.where(~apart) if split else chosen).select("_text"))
     if model is None:
         return rows.select(F.col("_id").alias(id_col), F.col("_lang").alias("lang"), F.coalesce(F.octet_length("_text"), F.lit(0)).cast("long").alias("n_bytes"), *(F.lit(None).cast("double").alias(c) for c in ("surprise", "perplexity", "threshold")), F.lit(False).alias("rejected"))
     scored = materialise(score(rows, model, ["_id", "_lang"]), "scores")
-    seen = by_ids(scored, trusted, "_id", "left_semi").where("n > 0")
-    means = seen.groupBy("_lang").agg(F.count("*").alias("docs"), (F.sum("total") / F.sum("n")).alias("mean"))
+    held = trusted.where(apart) if split else trusted
+    seen = by_ids(scored, held, "_id", "left_semi").where("n > 0")
+    means = bounded(seen.groupBy("_lang").agg(F.count("*").alias("docs"), (F.sum("total") / F.sum("n")).alias("mean")).where(F.col("docs") >= least), "means")
     every = seen.agg(F.sum("total") / F.sum("n")).first()[0]
-    named = scored.join(means.where(F.col("docs") >= least).select(F.col("_lang").alias("_l"), "mean"), F.col("_lang") == F.col("_l"), "left").withColumn("m", F.coalesce("mean", F.lit(every)))
+    named = scored.join(means.select(F.col("_lang").alias("_l"), "mean"), F.col("_lang") == F.col("_l"), "left").withColumn("m", F.coalesce("mean", F.lit(every)))
     named = named.withColumn("surprise", F.when(F.col("n") > 0, (F.col("total") + prior * F.col("m")) / (F.col("n") + prior))).drop("_l")
     named = materialise(named, "shrunk")
-    seen = by_ids(named, trusted, "_id", "left_semi").where("n > 0")
+    seen = by_ids(named, held, "_id", "left_semi").where("n > 0")
     q = lambda: F.percentile_approx("surprise", quantile, 10_000)
-    cuts = seen.where("mean IS NOT NULL").groupBy(F.col("_lang").alias("_l")).agg(q().alias("cut"))
+    cuts = bounded(seen.where("mean IS NOT NULL").groupBy(F.col("_lang").alias("_l")).agg(q().alias("cut")), "cuts")
     default = seen.agg(q()).first()[0]
     out = named.join(cuts, F.col("_lang") == F.col("_l"), "left").withColumn("threshold", F.coalesce("cut", F.lit(default)) + margin)
     return out.select(F.col("_id").alias(id_col), F.col("_lang").alias("lang"), F.col("n").alias("n_bytes"), "surprise", F.exp(F.col("total") / F.when(F.col("n") > 0, F.col("n"))).alias("perplexity"), "threshold", F.coalesce(F.col("surprise") > F.col("threshold"), F.lit(False)).alias("rejected"))
