@@ -8,8 +8,9 @@ are summed for each block of items; where even with all that frequent words can
 no item can (the pivot test on block maxima). The other passages go through block-max WAND item by item over the
 postings, which returns all items at or above the threshold. Each is verified: of the question's distinct 5-word shingles a share of `overlap` or
 more must lie in the passage, and as much of the answer's words.
-The index is sent to the workers; it is checked to stay under `index_bytes`, and items beyond that form further
-indexes, each with its own reading of the documents (a stated set of queries in blocks).
+The index is sent to the workers; its size is taken as 60 times the text of its items, and items beyond `index_bytes`
+form further indexes, each with its own reading of the documents (a stated set of queries in blocks). An index that
+is larger than that all the same is refused.
 
 Defined cases: words are runs of letters and digits, lower case. Null or wordless items match nothing, null texts
 hold nothing, null ids of documents are kept by drop_contaminated() and appear with a null id; equal items are
@@ -20,6 +21,7 @@ empty results; extra columns are not read.
 from __future__ import annotations
 
 import bisect
+import pickle
 
 import numpy as np
 import pyarrow as pa
@@ -173,7 +175,7 @@ def find(index: dict, h: np.ndarray, first: np.ndarray, threshold: float, overla
     at = np.repeat(index["block_first"][:-1][trm] - (np.cumsum(n) - n), n) + np.arange(n.sum())
     nb = len(index["spare"])
     pair = np.repeat(num, n) * nb + index["block"][at]
-    if passages[-1] * nb <= 1 << 23:
+    if passages[-1] * nb <= 1 << 20:
         back = pair
         pair = np.arange(passages[-1] * nb)
     else:
@@ -222,13 +224,17 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     parts = max(1, -(-int(size) * 60 // index_bytes))
     for part in range(parts):
         few = sorted((r[0], r[1], r[2]) for r in told.where(F.pmod(F.xxhash64("i"), F.lit(parts)) == part).select("i", F.coalesce("q", F.lit("")), F.coalesce("a", F.lit(""))).collect())
-        shared = docs.sparkSession.sparkContext.broadcast(build_index(few, threshold))
+        index = build_index(few, threshold)
+        if len(few) > 1 and (held := len(pickle.dumps(index))) > 2 * index_bytes:
+            raise ValueError(f"an index of {held} bytes; give a larger index_bytes")
+        shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, shared=shared):
             index, powers = shared.value, kit.Powers()
             for b in batches:
-                data, offs = kit.buffers(pc.utf8_lower(b.column(1)))
-                for lo, _hi, d, o in kit.slices(data, offs):
+                # lower case a slice at a time: a batch of texts is held once
+                for lo, hi, _, _ in kit.slices(*kit.buffers(b.column(1))):
+                    d, o = kit.buffers(pc.utf8_lower(b.column(1).slice(lo, hi - lo)))
                     s, e, first = kit.words(d, o, kit.ALNUM)
                     best = find(index, kit.span_hashes(d, s, e, powers), first, threshold, overlap)
                     if best:

@@ -25,7 +25,7 @@ from .components import components
 from .store import materialise
 
 TILE, MAX_PIVOTS, SEED = 4096, 4096, 29
-_SLACK = 1e-9  # of distances, for rounding
+_SLACK = 1e-7  # of distances: rounding of sqrt(2 - 2 u.v) near zero
 
 
 def _matrix(column) -> np.ndarray:

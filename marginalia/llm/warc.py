@@ -13,6 +13,7 @@ of its own; an empty replica differs everywhere, two empty ones nowhere; extra c
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,20 +29,27 @@ def warc_record(url: Column, body: Column, record_id: Column) -> Column:
     return F.concat(F.encode(head, "UTF-8"), payload, F.encode(F.lit("\r\n\r\n"), "UTF-8"))
 
 
-def archive_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", per_archive: int = RECORDS_PER_ARCHIVE) -> DataFrame:
+def archive_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", per_archive: int = RECORDS_PER_ARCHIVE, offsets: bool = True) -> DataFrame:
     """(archive, ordinal, offset, length, record): pages as records of archives of `per_archive` consecutive ids; an
-    archive is bounded, so are the windows over it."""
+    archive is bounded, so are the windows over it. Without `offsets` there is no such column and no shuffle of the
+    records; merkle_tree() then lays them end to end by their lengths."""
     r = pages.select(F.col(id_col).cast("long").alias("ordinal"), warc_record(F.col(url_col), F.col(body_col), F.col(id_col)).alias("record"))
     r = r.withColumn("archive", F.floor(F.col("ordinal") / per_archive)).withColumn("length", F.octet_length("record").cast("long"))
+    if not offsets:
+        return r.select("archive", "ordinal", "length", "record")
     w = Window.partitionBy("archive").orderBy("ordinal", F.sha2("record", 256)).rowsBetween(Window.unboundedPreceding, -1)
     return r.select("archive", "ordinal", F.coalesce(F.sum("length").over(w), F.lit(0)).alias("offset"), "length", "record")
 
 
 def merkle_tree(records: DataFrame, fanout: int = FANOUT, name: str = "tree") -> list[DataFrame]:
-    """Levels from the leaves to the roots: (archive, node, digest, begin, end). Windows and groups lie within one
-    archive or one node."""
+    """Levels from the leaves to the roots: (archive, node, digest, begin, end). Records are hashed where they are read;
+    windows and groups, within one archive or one node, move digests alone."""
+    leaves = records.withColumn("digest", F.sha2(F.coalesce("record", F.lit(b"")), 256)).drop("record")
+    if "offset" not in leaves.columns:
+        before = Window.partitionBy("archive").orderBy("ordinal", "digest").rowsBetween(Window.unboundedPreceding, -1)
+        leaves = leaves.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    leaves = leaves.select("archive", "ordinal", "offset", "digest", "length")
     w = Window.partitionBy("archive").orderBy("ordinal", "offset", "digest")
-    leaves = records.select("archive", "ordinal", "offset", F.sha2(F.coalesce("record", F.lit(b"")), 256).alias("digest"), F.col("length"))
     level = materialise(leaves.withColumn("node", (F.row_number().over(w) - 1).cast("long")).select("archive", "node", "digest", F.col("offset").alias("begin"), (F.col("offset") + F.col("length")).alias("end"), "ordinal"), name)
     levels = [level]
     while (level.agg(F.max("node")).first()[0] or 0) > 0:
@@ -77,13 +85,20 @@ def audit(a: list[DataFrame], b: list[DataFrame], fanout: int = FANOUT) -> DataF
 def write_warc(records: DataFrame, path: str) -> None:
     """One .warc file body for each archive, as binary rows of (archive, content) in Parquet, which keep the exact
     bytes: record after record. An archive is bounded by its number of records."""
-    content = F.expr("aggregate(array_sort(collect_list(struct(ordinal, offset, record))), cast('' AS binary), (a, x) -> concat(a, x.record))")
-    records.groupBy("archive").agg(content.alias("content")).write.mode("overwrite").parquet(path)
+
+    def body(table: pa.Table) -> pa.Table:
+        rows = table.sort_by([("ordinal", "ascending"), ("offset", "ascending")])
+        return pa.table({"archive": rows["archive"].slice(0, 1), "content": pa.array([b"".join(x or b"" for x in rows["record"].to_pylist())], pa.binary())})
+
+    kind = dict(records.dtypes)["archive"]
+    own = records.select("archive", "ordinal", "offset", "record")
+    own.groupBy("archive").applyInArrow(body, f"archive {kind}, content binary").write.mode("overwrite").parquet(path)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(file, ordinal, offset, length, uri, record) of .warc and .warc.gz files by any path that Spark reads; a file
-    without a valid record header at some place ends there."""
+    """(file, ordinal, offset, length, uri, record, valid) of .warc and .warc.gz files by any path that Spark reads. A
+    file without a valid record header at some place, or cut short, ends there with a row that has the rest of its bytes
+    and `valid` false."""
 
     def run(frames):
         import gzip
@@ -97,8 +112,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 while (m := re.compile(rb"WARC/\d\.\d\r\n(.*?)\r\n\r\n", re.S).match(data, at)) and (n := re.search(rb"(?im)^Content-Length:\s*(\d+)", m[1])):
                     end = min(len(data), m.end() + int(n[1]) + 4)
                     uri = re.search(rb"(?im)^WARC-Target-URI:\s*(\S*)", m[1])
-                    rows.append((name, len(rows), at, end - at, uri[1].decode("utf-8", "replace") if uri else None, data[at:end]))
+                    whole = m.end() + int(n[1]) + 4 <= len(data)
+                    rows.append((name, len(rows), at, end - at, uri[1].decode("utf-8", "replace") if uri else None, data[at:end], whole))
                     at = end
-                yield pd.DataFrame(rows, columns=["file", "ordinal", "offset", "length", "uri", "record"])
+                if at < len(data):
+                    rows.append((name, len(rows), at, len(data) - at, None, data[at:], False))
+                yield pd.DataFrame(rows, columns=["file", "ordinal", "offset", "length", "uri", "record", "valid"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "file string, ordinal long, offset long, length long, uri string, record binary")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "file string, ordinal long, offset long, length long, uri string, record binary, valid boolean")
