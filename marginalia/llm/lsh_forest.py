@@ -90,7 +90,7 @@ def _signatures(column) -> np.ndarray:
 
 
 def tree_labels(reps: DataFrame, trees: int) -> DataFrame:
-    """(rep, tree, p4): for each tree the hash of its first four values."""
+    """(rep, n, tree, p4) of (rep, sig, n): for each tree the hash of its first four values."""
 
     def run(batches):
         order = _orders(trees)[:, :4]
@@ -98,9 +98,10 @@ def tree_labels(reps: DataFrame, trees: int) -> DataFrame:
             n = batch.num_rows
             if n:
                 (p4,) = _prefixes(_signatures(batch.column(1))[:, order], np.broadcast_to(np.arange(trees), (n, trees)), (4,))
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), trees)), pa.array(np.tile(np.arange(trees, dtype=np.int8), n)), pa.array(p4)], names=["rep", "tree", "p4"])
+                rep, size = (pa.array(np.repeat(batch.column(i).to_numpy(zero_copy_only=False), trees)) for i in (0, 2))
+                yield pa.RecordBatch.from_arrays([rep, size, pa.array(np.tile(np.arange(trees, dtype=np.int8), n)), pa.array(p4)], names=["rep", "n", "tree", "p4"])
 
-    return reps.mapInArrow(kit.tidy(run), "rep long, tree byte, p4 long")
+    return reps.mapInArrow(kit.tidy(run), "rep long, n long, tree byte, p4 long")
 
 
 def deeper_labels(rows: DataFrame, reps: DataFrame, trees: int) -> DataFrame:
@@ -122,18 +123,18 @@ def _regions(rows: DataFrame, key: str, small: int) -> tuple[DataFrame, DataFram
     """Of the regions with one key: all pairs of the small ones, first-to-each pairs of the large, rows of the large.
     The rows are dealt by key once; sizes and members come from that one shuffle."""
     dealt = rows.repartition(key)
-    size = dealt.groupBy(key).agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1")
+    size = dealt.groupBy(key).agg(F.count("*").alias("held"), F.min("rep").alias("hub")).where("held > 1")
     own = materialise(dealt.join(size, key), "regions")  # what shares a prefix at all: read several times below
-    few = own.where(F.col("n") <= small).groupBy(key).agg(F.sort_array(F.collect_list("rep")).alias("m"))
+    few = own.where(F.col("held") <= small).groupBy(key).agg(F.sort_array(F.collect_list("rep")).alias("m"))
     pairs = few.select(F.explode(F.expr("flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> named_struct('a', x, 'b', y))))")).alias("p")).select("p.a", "p.b")
-    big = own.where(F.col("n") > small)
+    big = own.where(F.col("held") > small)
     return pairs, big.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")), big.select(*rows.columns)
 
 
 def _full_sets(texts: DataFrame, reps: DataFrame, need: DataFrame, k: int) -> DataFrame:
     """(rep, set) of the classes in the one-column table `need`: one text of each is read again. Other texts that share
     its id give sets that nothing asks for."""
-    ids = need.toDF("rep").distinct().join(reps.select("rep", "first"), "rep").select("first")
+    ids = reps.select("rep", "first").join(need.toDF("rep"), "rep", "left_semi").select("first")
     return shingle_sets(by_ids(texts, ids, "_id", "left_semi"), k).dropDuplicates(["rep"])
 
 
@@ -161,8 +162,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sigs = materialise(signatures(texts, k, 4 * trees), "signatures")
     full = sigs.where("n > 0 AND _id IS NOT NULL")
     # a set has one signature, whichever of its texts it is taken from
-    reps = materialise(full.groupBy(F.col("k1").alias("rep")).agg(F.min("_id").alias("first"), F.first("sig").alias("sig")), "classes")
-    labels = materialise(tree_labels(reps.select("rep", "sig"), trees), "labels")
+    reps = materialise(full.groupBy(F.col("k1").alias("rep")).agg(F.min("_id").alias("first"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
+    labels = materialise(tree_labels(reps.select("rep", "sig", "n"), trees), "labels")
     p4, h4, r4 = _regions(labels, "p4", small)
     discard(labels)
     p6, h6, r6 = _regions(deeper_labels(r4, reps, trees), "p6", small)
@@ -173,13 +174,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = materialise(verified(pairs, reps, texts, k, threshold, screen), "links")
     comp = materialise(components(links, "a", "b"), "components")
     # what is still apart in a crowded region: all its pairs, on full sets
-    more = crowd_links(r4.select(F.col("p4").alias("key"), "rep"), comp, lambda need: _full_sets(texts, reps, need, k), threshold)
+    more = crowd_links(r4.select(F.col("p4").alias("key"), "rep", "n"), comp, lambda need: _full_sets(texts, reps, need, k), threshold)
     if more is not None:
         links = links.union(materialise(more, "links"))
         comp = materialise(components(links, "a", "b"), "components")
-    named = comp.toDF("rep", "c").join(reps.select("rep", "first"), "rep")
-    heads = named.groupBy("c").agg(F.min("first").alias("head"))
-    led = reps.select("rep", "first").join(named.join(heads, "c").select("rep", "head"), "rep", "left").select(F.col("rep").alias("k1"), F.coalesce("head", "first").alias("c"))
+    led = reps.select("rep", "first").join(comp.toDF("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
+    heads = led.groupBy("c").agg(F.min("first").alias("head"))
+    led = led.join(heads, "c").select(F.col("rep").alias("k1"), F.col("head").alias("c"))
     # texts without shingles, however many, meet nothing and are dealt by their id
     out = sigs.select("_id", "n", F.when(F.col("n") > 0, F.col("k1")).otherwise(F.xxhash64("_id")).alias("k1")).join(led, "k1", "left")
     c = F.when(F.col("_id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("c")), F.col("_id")))

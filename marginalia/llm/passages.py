@@ -97,24 +97,24 @@ def _units(batches, what: str):
                 for r in range(ROWS):
                     band = kit.mix(band * np.uint64(0x2545F4914F6CDD1D) + sig[:, :, r])
             flat = pa.ListArray.from_arrays(pa.array((np.arange(len(keep) + 1) * BANDS).astype(np.int32)), pa.array(band.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*base, pa.array(k1), pa.array(k2), flat], names=["id", "s", "e", "k1", "k2", "bands"])
+            yield pa.RecordBatch.from_arrays([*base, pa.array(k1), pa.array(k2), pa.array(np.diff(uf).astype(np.int64)), flat], names=["id", "s", "e", "k1", "k2", "n", "bands"])
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80, small: int = SMALL) -> DataFrame:
     """(id_col, start, end, first_id, first_start): every span, in bytes, that repeats an earlier place; unmerged."""
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    lines = materialise(rows.mapInArrow(kit.tidy(lambda b: _units(b, "lines")), "id long, s int, e int, k1 long, k2 long, bands array<long>"), "lines")
+    lines = materialise(rows.mapInArrow(kit.tidy(lambda b: _units(b, "lines")), "id long, s int, e int, k1 long, k2 long, n long, bands array<long>"), "lines")
     place = F.struct("id", "s", "e")
-    classes = materialise(lines.groupBy("k1", "k2").agg(F.min(place).alias("p"), F.count("*").alias("n"), F.first("bands").alias("bands")).withColumn("rep", F.xxhash64("k1", "k2")), "classes")
-    hashed = classes.select("rep", F.explode("bands").alias("key"))
-    size = hashed.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1")
+    classes = materialise(lines.groupBy("k1", "k2").agg(F.min(place).alias("p"), F.first("n").alias("n"), F.first("bands").alias("bands")).withColumn("rep", F.xxhash64("k1", "k2")), "classes")
+    hashed = classes.select("rep", "n", F.explode("bands").alias("key"))
+    size = hashed.groupBy("key").agg(F.count("*").alias("held"), F.min("rep").alias("hub")).where("held > 1")
     own = materialise(hashed.join(size, "key"), "bands")
-    few = own.where(F.col("n") <= small).groupBy("key").agg(F.sort_array(F.collect_list("rep")).alias("m"))
+    few = own.where(F.col("held") <= small).groupBy("key").agg(F.sort_array(F.collect_list("rep")).alias("m"))
     pairs = few.select(F.explode(F.expr("flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> named_struct('a', x, 'b', y))))")).alias("p")).select("p.a", "p.b")
-    many = own.where((F.col("n") > small) & (F.col("rep") != F.col("hub")))
+    many = own.where((F.col("held") > small) & (F.col("rep") != F.col("hub")))
     pairs = pairs.union(many.select(F.col("hub").alias("a"), F.col("rep").alias("b")))
     pairs = materialise(pairs.where("a <> b").distinct(), "pairs")
-    crowd = own.where(F.col("n") > small).select("key", "rep")
+    crowd = own.where(F.col("held") > small).select("key", "rep", "n")
     need = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(classes.select("rep", "p"), "rep").select("rep", "p.*")
     need = materialise(need, "needed")
     # one place of each class is read again for its full set

@@ -82,10 +82,10 @@ def _tile_links(table: pa.Table, threshold: int) -> pa.Table:
 
 
 def crowd_links(crowd: DataFrame, comp: DataFrame, sets: Callable[[DataFrame], DataFrame], threshold: int, weight: int = WEIGHT, docs: int = DOCS) -> DataFrame | None:
-    """Links (a, b) between components that join all members (key, rep) of one group with 100 * intersection >=
+    """Links (a, b) between components that join all members (key, rep, n; n is the size of the set) of one group with 100 * intersection >=
     threshold * union. comp has the components found so far, without members that are alone; `sets` gives (rep, set)
     of a table of members. None where no group has two components."""
-    named = crowd.join(comp.toDF("rep", "c"), "rep", "left").select("key", "rep", F.coalesce("c", "rep").alias("c"))
+    named = crowd.join(comp.toDF("rep", "c"), "rep", "left").select("key", "rep", "n", F.coalesce("c", "rep").alias("c"))
     mixed = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
     rows = materialise(named.join(mixed, "key"), "crowd")
     if rows.isEmpty():
@@ -93,8 +93,7 @@ def crowd_links(crowd: DataFrame, comp: DataFrame, sets: Callable[[DataFrame], D
     own = materialise(sets(rows.select("rep").distinct()), "crowd_sets")
     step = weight // docs
     cut = F.expr(f"cast((sum(n + {step}) over (partition by key order by c, n, rep) - 1) div {weight} as int)")
-    tiles = rows.join(own.select("rep", F.size("set").alias("n")), "rep").withColumn("tile", cut)
-    tiles = materialise(tiles.select("key", "tile", "rep", "c", "n"), "tiles")
+    tiles = materialise(rows.withColumn("tile", cut).select("key", "tile", "rep", "c", "n"), "tiles")
     span = tiles.groupBy("key", "tile").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("n").alias("least"), F.max("n").alias("most"))
     x, y = span.toDF("key", "i", "xl", "xh", "xn", "xm"), span.toDF("key", "j", "yl", "yh", "yn", "ym")
     near = f"xm * 100 >= yn * {threshold} AND ym * 100 >= xn * {threshold}"
