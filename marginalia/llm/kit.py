@@ -10,7 +10,7 @@ import ctypes
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _ODD = 0x9E3779B97F4A7C15 | 1
 _ODD_INVERSE = pow(_ODD, -1, 1 << 64)
 

@@ -4,7 +4,7 @@ Method: 4-grams over 64 byte classes are counted over all trusted documents (lab
 orders count distinct left extensions, and discounts come from the counts of counts of each order. The probability of
 every seen n-gram is put together by joins of the count tables, sharded by n-gram or context. Since a table has at
 most 64^4 rows however much text there is (that is why the units are classes of bytes), the finished model is a table
-of bounded size (64 MB in a worker), and the join of a document's n-grams with it is a lookup while the document is
+of bounded size (32 MB in a worker, in 16 bits), and the join of a document's n-grams with it is a lookup while the document is
 read. Every byte of every document is scored. A document is rejected when its mean surprise, shrunk towards the
 trusted mean of its language by `prior` bytes (short texts say little), is above the language's quantile of the same
 figure over trusted documents by more than `margin` nats. Means and quantiles come from one of `FOLDS` parts of the
@@ -115,7 +115,7 @@ def score(docs: DataFrame, model: dict, keys: list[str]) -> DataFrame:
     lut = gram_classes()
 
     def run(batches):
-        table = surprises(shared.value)  # for the task alone: idle workers hold no 64 MB beside later stages
+        table = surprises(shared.value).astype(np.float16)  # 32 MB, for the task alone: idle workers hold none of it
         for b in batches:
             data, offs = kit.buffers(b.column(b.num_columns - 1))
             for lo, hi, d, o in kit.slices(data, offs, SLICE):

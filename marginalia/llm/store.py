@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch, and bytes of a row group, while a table is written: both are held in memory by each task.
-ARROW_ROWS, ROW_GROUP = 2048, 16 << 20
+ARROW_ROWS, ROW_GROUP = 1024, 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
