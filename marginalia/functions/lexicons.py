@@ -137,3 +137,12 @@ NER_LABELS = {
     "TEST": "lab_test", "LAB_TEST": "lab_test", "DIAGNOSTICS": "lab_test", "MEDDEVICETECHNIQUE": "lab_test",
     "RESULT": "lab_result", "LAB_RESULT": "lab_result", "UNITCALIBRATOR": "lab_result",
 }
+
+# What an audit takes for a letter of a word, and a text that breaks off.
+AUDIT_WORD = r"^[A-Za-zÀ-ỹĐđ0-9]"
+TRAILING_FRAGMENT = r"(?iuU)\b(?:trong|cho|và|với|của|tại|do|để|khi|ngày|lần|khả|ng|kh|v)\s*\z"
+
+# A drug name of one word, and what says that a drug was taken before.
+DRUG_TOKEN = r"^[A-Za-zÀ-ỹĐđ]{5,}\z"
+HISTORICAL_CONTEXT = ["tiền sử", "trước đây", "trước khi nhập viện", "lần nhập viện trước", "thuốc đang dùng trước", "đang dùng tại nhà", "ở nhà bệnh nhân đã", "đã sử dụng", "đã điều trị"]
+HISTORICAL_HEADING = ["các sự kiện trước khi nhập viện"]

@@ -6,11 +6,10 @@ is split at the first marker, so a piece's length gives the next offset; all of
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 OPEN, CLOSE = "\u0001", "\u0002"
 
@@ -19,15 +18,37 @@ _FOLD_FROM = "àáảãạăằắẳẵặâầấẩẫậèéẻẽẹêề
 _FOLD_TO = "aaaaaaaaaaaaaaaaaeeeeeeeeeeeiiiiiooooooooooooooooouuuuuuuuuuuyyyyyd"
 
 
-@F.pandas_udf(StringType())
-def nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+@cache
+def _class(kind: str) -> str:
+    """A character class by rule: `plain`, the Latin letters, digits and marks that NFKC leaves as they are wherever they
+    stand; `marks`, all combining marks."""
+    if kind == "plain":
+        points = [c for c in (*range(0x250), *range(0x1E00, 0x1F00), *range(0x2010, 0x2028)) if not unicodedata.combining(chr(c)) and unicodedata.is_normalized("NFKC", chr(c))]
+    else:
+        points = [c for c in range(0x110000) if unicodedata.combining(chr(c))]
+    runs: list[list[int]] = []
+    for c in points:
+        if runs and runs[-1][1] == c - 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in runs)
 
 
-@F.pandas_udf(StringType())
-def strip_marks(texts: pd.Series) -> pd.Series:
-    """NFKD, combining marks dropped, NFKC."""
-    return texts.map(lambda t: unicodedata.normalize("NFKC", "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))), na_action="ignore")
+def _icu(method: str, c: Column) -> Column:
+    """A form of compatibility by the ICU library that Spark brings, inside the JVM."""
+    return F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit(method), F.coalesce(c, F.lit("")), F.lit(True))
+
+
+def nfkc(c: Column) -> Column:
+    """NFKC; text of plain characters alone, which most is, is only looked through."""
+    return F.when(c.rlike(f"[^{_class('plain')}]"), _icu("compose", c)).otherwise(c)
+
+
+def strip_marks(c: Column) -> Column:
+    """NFKD, combining marks dropped, NFKC; ASCII is only looked through."""
+    bare = F.regexp_replace(_icu("decompose", c), f"[{_class('marks')}]", "")
+    return F.when(c.rlike(r"[^\x00-\x7F]"), nfkc(bare)).otherwise(c)
 
 
 def squeeze(c: Column) -> Column:
@@ -35,19 +56,14 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
-def norm(c: Column, compat: bool = False) -> Column:
-    """The matching form: lower case, quotes, brackets and list marks to spaces. compat: NFKC first, by an Arrow UDF;
-    without it for texts that are in NFKC already."""
-    lowered = F.lower(nfkc(c) if compat else c)
-    return squeeze(F.translate(lowered, "“”\"'`,:;()[]{}", " " * 14))
+def norm(c: Column) -> Column:
+    """The matching form: NFKC, lower case, quotes, brackets and list marks to spaces."""
+    return squeeze(F.translate(F.lower(nfkc(c)), "“”\"'`,:;()[]{}", " " * 14))
 
 
-def folded(c: Column, compat: bool = False) -> Column:
-    """norm without accents; exact for Vietnamese and Latin-1 letters in the JVM, for all others with compat."""
-    n = norm(c, compat)
-    if compat:
-        return squeeze(strip_marks(F.translate(n, "đ", "d")))
-    return F.translate(n, _FOLD_FROM + "äëïöüçñåûî", _FOLD_TO + "aeioucnaui")
+def folded(c: Column) -> Column:
+    """norm without accents. The letters of Vietnamese and Latin-1 by a table; what isn't ASCII then, by decomposition."""
+    return squeeze(strip_marks(F.translate(norm(c), _FOLD_FROM + "äëïöüçñåûî", _FOLD_TO + "aeioucnaui")))
 
 
 def filter_key(c: Column) -> Column:
@@ -96,7 +112,7 @@ def trim_span(text: Column, start: Column, end: Column) -> tuple[Column, Column]
     s, e = F.greatest(start, F.lit(0)), F.least(end, F.length(text))
     body = F.substring(text, s + 1, F.greatest(e - s, F.lit(0)))
     lead = F.length(F.regexp_extract(body, "^" + _TRIM, 0))
-    tail = F.length(F.regexp_extract(body, _TRIM + "$", 0))
+    tail = F.length(F.regexp_extract(body, _TRIM + r"\z", 0))
     return s + lead, F.greatest(s + lead, e - tail)
 
 

@@ -14,6 +14,7 @@ from .spans import uncovered
 
 KEY = ["record_id", "start", "end", "type"]
 _VALUE = r"[<>]?[ \t]*\d+(?:[,.]\d+)?(?:[ \t]*(?:%|mg/dL|mmol/L|µmol/L|umol/L|g/L|g/dL|U/L|IU/L|ng/L|ng/mL|pg/mL|mEq/L|mmHg|10\^9/L|10\^12/L|K/uL|M/uL))?"
+_LINKED = [L.TYPE_LABELS["diagnosis"], L.TYPE_LABELS["drug"]]
 _LAB_TYPES = ["TÊN_XÉT_NGHIỆM", "KẾT_QUẢ_XÉT_NGHIỆM"]
 
 
@@ -32,9 +33,9 @@ def strict_lab_pairs(rows: DataFrame, notes: DataFrame) -> DataFrame:
 
 
 def type_report(rows: DataFrame) -> DataFrame:
-    """H2: counts of each type: entities, empty candidate lists, each assertion."""
+    """H2: counts of each type: entities, empty candidate lists (of the linked types), each assertion."""
     said = [F.sum(F.array_contains("assertions", a).cast("long")).alias(a) for a in L.OUTPUT_ASSERTIONS]
-    return rows.groupBy("type").agg(F.count("*").alias("entities"), F.sum((F.size("candidates") == 0).cast("long")).alias("without_candidates"), *said)
+    return rows.groupBy("type").agg(F.count("*").alias("entities"), F.sum((F.col("type").isin(_LINKED) & (F.size("candidates") == 0)).cast("long")).alias("without_candidates"), *said)
 
 
 def findings(rows: DataFrame, notes: DataFrame) -> DataFrame:
@@ -43,11 +44,11 @@ def findings(rows: DataFrame, notes: DataFrame) -> DataFrame:
     nxt = F.lead("start").over(Window.partitionBy("record_id").orderBy("start", "end", "type", "ord"))
     j = rows.withColumn("_next", nxt).join(notes.select("record_id", "raw_text"), "record_id")
     at = lambda c: F.substring(F.col("raw_text"), c, F.lit(1))
-    word = r"(?U)^\w$"
+    word = L.AUDIT_WORD
     tests = {
         "midword_left": (F.col("start") > 0) & at(F.col("start")).rlike(word) & at(F.col("start") + 1).rlike(word),
         "midword_right": at(F.col("end")).rlike(word) & at(F.col("end") + 1).rlike(word),
-        "trailing_fragment": F.col("text").rlike(r"(?iuU)(?:^|\s)(?:và|của|với|do|bị|có|là)$"),
+        "trailing_fragment": F.col("text").rlike(L.TRAILING_FRAGMENT),
         "contains_newline": F.col("text").contains("\n"),
         "overlaps_next": F.col("_next") < F.col("end"),
     }
@@ -55,56 +56,105 @@ def findings(rows: DataFrame, notes: DataFrame) -> DataFrame:
     return j.select("record_id", "start", "end", "type", F.explode(each).alias("finding"))
 
 
+def uncovered_terms(rows: DataFrame, notes: DataFrame) -> DataFrame:
+    """H2: (record_id, type, start, end, text): symptoms and laboratory names in the notes that no entity of their type
+    holds."""
+    texts = notes.select("record_id", "raw_text")
+    hits = [found(texts, T.whole_word(terms)).select("record_id", F.lit(kind).alias("type"), "start", "end", F.col("hit").alias("text")) for kind, terms in ((L.TYPE_LABELS["symptom"], L.SYMPTOMS), (_LAB_TYPES[0], L.LABS))]
+    return uncovered(hits[0].unionByName(hits[1]), rows)
+
+
 def expanded_labs(rows: DataFrame, other: DataFrame, reach: int = 24) -> DataFrame:
-    """H3: laboratory entities take the end of the shortest entity of `other` with their type and start that extends
-    them by up to `reach` characters without a line feed, semicolon or colon; then the first of each place."""
-    o = other.where(F.col("type").isin(_LAB_TYPES)).select("record_id", "type", "start", F.col("end").alias("o_end"), F.col("text").alias("o_text"))
-    j = rows.where(F.col("type").isin(_LAB_TYPES)).join(o, ["record_id", "type", "start"]).where((F.col("o_end") > F.col("end")) & (F.col("o_end") - F.col("end") <= reach) & F.col("o_text").startswith(F.col("text")) & ~F.expr("substring(o_text, length(text) + 1)").rlike("[\n;:]"))
-    best = j.groupBy("record_id", "ord").agg(F.min_by(F.struct("o_end", "o_text"), F.col("o_end")).alias("b"))
+    """H3: names of laboratory tests take text and end of the shortest one of `other` that starts at the same place, is
+    longer by up to `reach` characters, begins with their text whatever its case, and holds no line feed, semicolon or
+    colon; then the first of each place and type."""
+    name = F.col("type") == _LAB_TYPES[0]
+    o = other.where(name & ~F.col("text").rlike("[\n;:]")).select("record_id", "start", F.col("end").alias("o_end"), F.col("text").alias("o_text"), F.col("ord").alias("o_ord"))
+    j = rows.where(name).join(o, ["record_id", "start"]).where((F.col("o_end") > F.col("end")) & (F.col("o_end") - F.col("end") <= reach) & F.lower("o_text").startswith(F.lower("text")))
+    best = j.groupBy("record_id", "ord").agg(F.min_by(F.struct("o_end", "o_text"), F.struct("o_end", "o_ord")).alias("b"))
     out = rows.join(best, ["record_id", "ord"], "left").withColumns({"end": F.coalesce("b.o_end", "end"), "text": F.coalesce("b.o_text", "text")}).drop("b")
     return first_of_each(out.withColumns({"gen_ord": F.col("ord"), "concept_type": F.col("type")})).select(*rows.columns)
 
 
 def ablated(rows: DataFrame, strict: DataFrame, labels: list[str]) -> DataFrame:
-    """H4: listed labels go unless the strict side has them for the same entity; laboratory entities lose all."""
-    s = strict.groupBy(*KEY, "text").agg(F.first("assertions").alias("_s"))
+    """H4: listed labels go unless the strict side (the last of equal entities) has them for the same entity; types
+    other than symptoms, diagnoses and drugs lose all."""
+    s = strict.groupBy(*KEY, "text").agg(F.max_by("assertions", "ord").alias("_s"))
     j = rows.join(s, [*KEY, "text"], "left")
-    drop = F.array(*[F.lit(x) for x in labels])
-    kept = F.filter("assertions", lambda a: ~F.array_contains(drop, a) | F.array_contains(F.coalesce("_s", F.array().cast("array<string>")), a))
-    return j.withColumn("assertions", F.when(F.col("type").isin(_LAB_TYPES), F.array().cast("array<string>")).otherwise(kept)).select(*rows.columns)
+    drop, none = F.array(*[F.lit(x) for x in labels]), F.array().cast("array<string>")
+    kept = F.filter("assertions", lambda a: ~F.array_contains(drop, a) | F.array_contains(F.coalesce("_s", none), a))
+    said = F.col("type").isin(L.TYPE_LABELS["symptom"], *_LINKED)
+    return j.withColumn("assertions", F.when(said, kept).otherwise(none)).select(*rows.columns)
 
 
 def projected_candidates(rows: DataFrame, donor: DataFrame, preserve: list[str] | None = None) -> DataFrame:
-    """H5: candidates of the donor's entity at the same place, else of the one that contains or is contained with the
-    largest overlap, then the closest length, else none, but for types to preserve."""
-    same = donor.groupBy(*KEY).agg(F.first("candidates").alias("_same"))
+    """H5: candidates of the donor's entity with the same place and text (the last of equal ones), else of the one of
+    that type that contains or is contained with the largest overlap, then the closest length, then the first; without
+    any only types to preserve (drugs by default) keep theirs. Types other than diagnoses and drugs lose all."""
+    none = F.array().cast("array<string>")
+    same = donor.groupBy(*KEY, "text").agg(F.max_by("candidates", "ord").alias("_same"))
     d = donor.select("record_id", "type", F.col("start").alias("d0"), F.col("end").alias("d1"), F.col("candidates").alias("dc"), F.col("ord").alias("do"))
-    near = rows.join(d, ["record_id", "type"]).where("(d0 <= start AND end <= d1) OR (start <= d0 AND d1 <= end)")
     size = F.least("end", "d1") - F.greatest("start", "d0")
+    near = rows.where(F.col("type").isin(_LINKED)).join(d, ["record_id", "type"]).where("(d0 <= start AND end <= d1) OR (start <= d0 AND d1 <= end)").where(size > 0)
     best = near.groupBy("record_id", "ord").agg(F.max_by("dc", F.struct(size, -F.abs((F.col("end") - F.col("start")) - (F.col("d1") - F.col("d0"))), -F.col("do"))).alias("_near"))
-    j = rows.join(same, KEY, "left").join(best, ["record_id", "ord"], "left")
-    keep = F.when(F.col("type").isin(preserve or []), F.col("candidates")) if preserve else F.lit(None).cast("array<string>")
-    return j.withColumn("candidates", F.coalesce("_same", "_near", keep, F.array().cast("array<string>"))).select(*rows.columns)
+    j = rows.join(same, [*KEY, "text"], "left").join(best, ["record_id", "ord"], "left")
+    keep = F.when(F.col("type").isin([L.TYPE_LABELS["drug"]] if preserve is None else preserve), F.col("candidates"))
+    return j.withColumn("candidates", F.when(F.col("type").isin(_LINKED), F.coalesce("_same", "_near", keep, none)).otherwise(none)).select(*rows.columns)
 
 
 def canonical_drug_names(rows: DataFrame) -> DataFrame:
-    """H6's names: the shortest text, then the first in order, of each drug code."""
-    d = rows.where((F.col("type") == L.TYPE_LABELS["drug"]) & (F.size("candidates") > 0)).select(F.explode("candidates").alias("id"), F.lower("text").alias("name"))
-    return d.groupBy("id").agg(F.min_by("name", F.struct(F.length("name"), F.col("name"))).alias("name"))
-
-
-def split_drugs(rows: DataFrame, names: DataFrame) -> DataFrame:
-    """H6: drugs whose text runs several known names together become one entity for each name: (record_id, ord, piece,
-    start, end, id). Names found in the text join on equality of its substrings; the longest first, none overlapping
-    (a fold in the entity)."""
-    drugs = rows.where(F.col("type") == L.TYPE_LABELS["drug"]).withColumn("low", F.lower("text"))
-    known = names.where(F.length("name") >= 4).groupBy("name").agg(F.min("id").alias("id")).withColumn("n", F.length("name"))
-    at = drugs.where(F.length("low") >= 4).select("record_id", "ord", "low", "start", F.explode(F.sequence(F.lit(1), F.length("low") - 3)).alias("i")).withColumn("head", F.expr("substring(low, i, 4)"))
-    hit = at.join(known.withColumn("head", F.substring("name", 1, 4)), "head").where(F.expr("substring(low, i, n) = name"))
-    per = hit.groupBy("record_id", "ord", "start").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "i", "name", "id"))).alias("h"))
-    fold = F.expr("aggregate(h, cast(array() AS array<struct<m:int,i:int,name:string,id:string>>), (acc, x) -> CASE WHEN exists(acc, o -> greatest(o.i, x.i) < least(o.i - o.m, x.i - x.m)) THEN acc ELSE concat(acc, array(x)) END)")
-    out = per.withColumn("f", fold).where("size(f) > 1").select("record_id", "ord", "start", F.posexplode(F.expr("array_sort(transform(f, x -> named_struct('i', x.i, 'name', x.name, 'id', x.id)))")).alias("piece", "x"))
-    return out.select("record_id", "ord", "piece", F.col("x.name").alias("text"), (F.col("start") + F.col("x.i") - 1).alias("start"), (F.col("start") + F.col("x.i") - 1 + F.length("x.name")).alias("end"), F.col("x.id").alias("id"))
+    """H6's names (name, ids, first): of the drugs that are one word of letters, the shortest, then first in order, of
+    each code; up to two codes of a name, in the order of the entities."""
+    text = F.lower(F.trim("text"))
+    d = rows.where((F.col("type") == L.TYPE_LABELS["drug"]) & text.rlike(L.DRUG_TOKEN)).select(F.posexplode("candidates").alias("i", "id"), text.alias("name"), F.struct("record_id", "ord").alias("at"))
+    best = d.groupBy("id").agg(F.min_by("name", F.struct(F.length("name"), F.col("name"))).alias("name"), F.min(F.struct("at", "i")).alias("first"))
+    ids = F.slice(F.transform(F.array_sort(F.collect_list(F.struct("first", "id"))), lambda x: x["id"]), 1, 2)
+    return best.groupBy("name").agg(ids.alias("ids"), F.min("first").alias("first"))
+
+
+def split_drugs(rows: DataFrame, names: DataFrame, terms: DataFrame | None = None, notes: DataFrame | None = None) -> DataFrame:
+    """H6: rows with `piece`. In the first word of a drug the known names are found, longest first, none overlapping an
+    earlier one (a fold in the entity); gaps of five letters or more that `terms` knows as drugs are names too. A word
+    of several names, or that only begins with one, becomes an entity for each, historical where section or context
+    (`notes` with sections) say so. Then the first of each place and type."""
+    word = F.regexp_extract("text", r"(?U)^\s*(\S+)", 1)
+    drugs = rows.where(F.col("type") == L.TYPE_LABELS["drug"]).withColumn("low", F.lower(word)).where(F.length("low") >= 5)
+    known = names.select("name", "ids", "first", F.length("name").alias("n"), F.substring("name", 1, 5).alias("head"))
+    at = drugs.select("record_id", "ord", "low", F.explode(F.sequence(F.lit(1), F.length("low") - 4)).alias("i")).withColumn("head", F.expr("substring(low, i, 5)"))
+    hit = at.join(known, "head").where(F.expr("substring(low, i, n) = name"))
+    per = hit.groupBy("record_id", "ord").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "first", (F.col("i") - 1).alias("s"), (F.col("i") - 1 + F.col("n")).alias("e"), "ids"))).alias("h"))
+    fold = "aggregate(h, slice(h, 1, 0), (acc, x) -> CASE WHEN exists(acc, o -> greatest(o.s, x.s) < least(o.e, x.e)) THEN acc ELSE concat(acc, array(x)) END)"
+    none = "cast(array() AS array<struct<s:int,e:int,ids:array<string>>>)"
+    m = drugs.select("record_id", "ord", "low").join(per, ["record_id", "ord"], "left").withColumn("m", F.expr(f"coalesce(array_sort(transform({fold}, x -> named_struct('s', x.s, 'e', x.e, 'ids', x.ids))), {none})"))
+    if terms is not None:
+        gaps = F.expr("filter(zip_with(concat(array(0), m.e), concat(m.s, array(length(low))), (a, b) -> named_struct('s', a, 'e', b)), g -> g.e - g.s >= 5)")
+        free = m.select("record_id", "ord", "low", F.explode(gaps).alias("g")).withColumn("key", T.norm(F.expr("substring(low, g.s + 1, g.e - g.s)")))
+        t = terms.where((F.col("source") == "RxNorm") | (F.col("semantic_type") == "drug")).select(F.col("norm").alias("key"), "term_ord", F.regexp_replace("concept_id", "^Rx", "").alias("id"))
+        t = t.groupBy("key", "id").agg(F.min("term_ord").alias("o")).groupBy("key").agg(F.slice(F.transform(F.array_sort(F.collect_list(F.struct("o", "id"))), lambda x: x["id"]), 1, 2).alias("ids"))
+        more = free.join(t, "key").groupBy("record_id", "ord").agg(F.collect_list(F.struct("g.s", "g.e", "ids")).alias("more"))
+        m = m.join(more, ["record_id", "ord"], "left").withColumn("m", F.expr(f"array_sort(concat(m, coalesce(more, {none})))"))
+    m = m.where("size(m) > 1 OR exists(m, x -> x.s = 0 AND x.e < length(low))").select("record_id", "ord", "m")
+    j = rows.join(m, ["record_id", "ord"], "left")
+    if notes is not None:
+        from .sections import section_of
+
+        j = j.join(notes.select("record_id", "raw_text", "sections"), "record_id", "left")
+        context = lambda back, ahead: T.norm(T.cut(F.col("raw_text"), F.greatest(F.col("start") - back, F.lit(0)), ahead))
+        holds = lambda text, cues: F.exists(F.array(*[T.norm(F.lit(c)) for c in cues]), lambda c: text.contains(c))
+        past = section_of(F.col("sections"), F.col("start"), F.col("end")).isin("past_history", "medication_history") | holds(context(240, F.least(F.length("raw_text"), F.col("end") + 100)), L.HISTORICAL_CONTEXT) | holds(context(900, F.col("start")), L.HISTORICAL_HEADING)
+        j = j.withColumn("_past", F.coalesce(past, F.lit(False)))
+    else:
+        j = j.withColumn("_past", F.lit(False))
+    one = F.struct(F.lit(0).alias("s"), (F.col("end") - F.col("start")).cast("int").alias("e"), F.col("candidates").alias("ids"))
+    j = j.withColumn("_cut", F.col("m").isNotNull()).select("*", F.posexplode(F.coalesce("m", F.array(one))).alias("piece", "x"))
+    out = j.withColumns({
+        "text": F.when(F.col("_cut"), T.cut(F.col("text"), F.col("x.s"), F.col("x.e"))).otherwise(F.col("text")),
+        "end": F.when(F.col("_cut"), F.col("start") + F.col("x.e")).otherwise(F.col("end")),
+        "start": F.when(F.col("_cut"), F.col("start") + F.col("x.s")).otherwise(F.col("start")),
+        "assertions": F.when(F.col("_cut") & F.col("_past"), F.array(F.lit("isHistorical"))).otherwise(F.col("assertions")),
+        "candidates": F.when(F.col("_cut"), F.slice(F.col("x.ids"), 1, 2)).otherwise(F.col("candidates")),
+    })
+    return first_of_each(out.withColumns({"gen_ord": F.struct("ord", "piece"), "concept_type": F.col("type")})).select(*rows.columns, "piece")
 
 
 def restored(rows: DataFrame, origin: DataFrame, fields: list[str]) -> DataFrame:
@@ -113,19 +163,20 @@ def restored(rows: DataFrame, origin: DataFrame, fields: list[str]) -> DataFrame
     return rows.join(o, [*KEY, "text"], "left").withColumns({f: F.coalesce(f"_{f}", f) for f in fields}).select(*rows.columns)
 
 
-def build_memory(rows: DataFrame, notes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """H8: (memory by record, lexicon by majority). Entities whose text stands at their place are remembered with the
+def build_memory(rows: DataFrame, notes: DataFrame, labelled: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """H8: (memory by record, lexicon by majority, most frequent first). `labelled` (record_id) names the records of the
+    result set, those without an entity included; without it they are those of the rows. Entities whose text stands at their place are remembered with the
     SHA-1 of the note; of all payloads of one lower-cased text the most frequent wins, the first seen of equal ones."""
     j = rows.join(notes.select("record_id", "raw_text"), "record_id")
     ok = j.where((F.col("start") >= 0) & (F.col("start") < F.col("end")) & (F.col("end") <= F.length("raw_text")) & (T.cut(F.col("raw_text"), F.col("start"), F.col("end")) == F.col("text")))
     entity = F.struct("text", F.array("start", "end").alias("position"), "type", "assertions", "candidates")
     spans = ok.groupBy("record_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", entity.alias("e")))), lambda x: x["e"]).alias("spans"))
-    seen = rows.select("record_id").distinct().join(notes, "record_id").select("record_id", F.sha1(F.col("raw_text").cast("binary")).alias("sha1"))
+    seen = (rows if labelled is None else labelled).select("record_id").distinct().join(notes, "record_id").select("record_id", F.sha1(F.col("raw_text").cast("binary")).alias("sha1"))
     memory = seen.join(spans, "record_id", "left").select("record_id", "sha1", F.coalesce("spans", F.array().cast("array<struct<text:string,position:array<int>,type:string,assertions:array<string>,candidates:array<string>>>")).alias("spans"))
     payload = ["text", "type", "assertions", "candidates"]
     votes = ok.groupBy(*payload).agg(F.count("*").alias("count"), F.min(F.struct("record_id", "ord")).alias("first"))
     w = Window.partitionBy(F.lower("text")).orderBy(F.desc("count"), "first")
-    lexicon = votes.withColumn("_n", F.row_number().over(w)).where("_n = 1").select(*payload, "count")
+    lexicon = votes.withColumn("_n", F.row_number().over(w)).where("_n = 1").select(*payload, "count").orderBy(F.desc("count"), F.lower("text"))
     return memory, lexicon
 
 

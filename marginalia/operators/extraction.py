@@ -40,7 +40,7 @@ def _trim(rows: DataFrame) -> DataFrame:
 def _shrink(rows: DataFrame, chars: str) -> DataFrame:
     """start and end moved over the characters of a class."""
     body = T.cut(F.col("raw_text"), F.col("start"), F.col("end"))
-    lead, tail = F.length(F.regexp_extract(body, f"^(?:{chars})*", 0)), F.length(F.regexp_extract(body, f"(?:{chars})*$", 0))
+    lead, tail = F.length(F.regexp_extract(body, f"^(?:{chars})*", 0)), F.length(F.regexp_extract(body, rf"(?:{chars})*\z", 0))
     return rows.withColumns({"start": F.col("start") + lead, "end": F.greatest(F.col("start") + lead, F.col("end") - tail)})
 
 
@@ -169,7 +169,7 @@ def drug_aliases(notes: DataFrame, aliases: list[str] = L.DRUGS, gen: int = 11)
     tail = F.substring(F.col("raw_text"), F.col("end") + 1, F.lit(70))
     rows = rows.withColumn("dose", F.length(F.regexp_extract(tail, rf"{_I}^\s+{L.DRUG_STRENGTH}(?:\s+{L.DRUG_ROUTE})?(?:\s+{L.DRUG_FREQUENCY})?", 0)))
     left = F.lower(T.cut(F.col("raw_text"), F.greatest(F.col("start") - 80, F.lit(0)), F.col("start")))
-    rows = rows.where((F.col("dose") > 0) | F.lower("hit").isin(L.DRUGS) | left.rlike(r"(?U)(?:thuốc|toa|dùng|sử dụng|điều trị)\W*$"))
+    rows = rows.where((F.col("dose") > 0) | F.lower("hit").isin(L.DRUGS) | left.rlike(r"(?U)(?:thuốc|toa|dùng|sử dụng|điều trị)\W*\z"))
     return spans(_trim(rows.withColumn("end", F.col("end") + F.col("dose"))), "drug", F.when(F.col("dose") > 0, 0.92).otherwise(0.88), "med_alias", 2)
 
 
@@ -231,7 +231,7 @@ def block_names(rows: DataFrame, column: str = "name") -> DataFrame:
     lead = F.length(F.regexp_extract(column, r"^[ \-*\t]*", 0))
     rows = rows.withColumn("_bare", F.substring(F.col(column), lead + 1, F.length(column))).withColumn("_cue", F.length(F.regexp_extract("_bare", r"(?iuU)^kết[ \t]+quả[ \t]+", 0)))
     rest = F.substring(F.col("_bare"), F.col("_cue") + 1, F.length("_bare"))
-    rows = rows.withColumn("clean", F.regexp_replace(F.regexp_replace(rest, _I + L.BLOCK_SUFFIX, ""), r"[ \-*\t]+$", "")).withColumn("cut", lead + F.col("_cue"))
+    rows = rows.withColumn("clean", F.regexp_replace(F.regexp_replace(rest, _I + L.BLOCK_SUFFIX, ""), r"[ \-*\t]+\z", "")).withColumn("cut", lead + F.col("_cue"))
     rows = rows.withColumn("_c", T.squeeze(F.btrim("clean", F.lit(" -*\t")))).withColumn("_f", T.folded(F.col("_c")))
     bad = reduce(Column.__or__, [F.col("_f").contains(cue) for cue in L.BLOCK_BAD_CUES])
     words = F.size(F.split(F.trim(F.substring_index("_c", "(", 1)), " "))
@@ -274,7 +274,7 @@ def labs(notes: DataFrame) -> DataFrame:
 
 def prefixed(code: Column, kind: Column) -> Column:
     """D22."""
-    return F.when((kind == "drug") & code.rlike(r"(?U)^\d+$"), F.concat(F.lit("Rx"), code)).when((kind == "diagnosis") & ~code.startswith("ICD10:"), F.concat(F.lit("ICD10:"), code)).otherwise(code)
+    return F.when((kind == "drug") & code.rlike(r"(?U)^\d+\z"), F.concat(F.lit("Rx"), code)).when((kind == "diagnosis") & ~code.startswith("ICD10:"), F.concat(F.lit("ICD10:"), code)).otherwise(code)
 
 
 _INTERNAL = {v: k for k, v in L.TYPE_LABELS.items()}
@@ -299,19 +299,22 @@ def _payload(rows: DataFrame, e: Column, confidence: float, source: str, text: C
 
 def memory_lexicon(notes: DataFrame, lexicon_table: DataFrame) -> DataFrame:
     """(record_id, start, end, text, type, assertions, candidates): substrings of notes, case-blind, longest entries
-    first, none overlapping an earlier one. Entries join on their first three letters, so a note meets only those that
-    can begin somewhere in it; the occupancy is a fold in the note."""
-    lex = lexicon_table.where(F.length("text") >= 3).withColumn("_low", F.lower("text")).withColumn("_len", F.length("text"))
-    lex = lex.withColumn("lex_ord", F.row_number().over(Window.orderBy(F.col("_len").desc(), "lex_ord"))) if "lex_ord" in lex.columns else lex.withColumn("lex_ord", F.row_number().over(Window.orderBy(F.col("_len").desc(), "text")))
+    first (equal ones in the lexicon's order: lex_ord, or count descending and lower text), none overlapping an earlier
+    one. Places (record_id, at) join the entries on three letters, so notes travel only with the places that can begin
+    an entry; the occupancy is a fold in the note."""
+    columns = lexicon_table.columns
+    order = [F.col("lex_ord")] if "lex_ord" in columns else [-F.col("count")] if "count" in columns else []
+    lex = lexicon_table.where(F.length("text") >= 3).select(F.struct((-F.length("text")).alias("n"), *[c.alias("o") for c in order], F.lower("text").alias("l"), "text").alias("rank"), F.lower("text").alias("_low"), F.length("text").alias("_len"), "type", "assertions", "candidates")
     lex = lex.withColumn("_head", F.substring("_low", 1, 3))
-    low = F.lower("raw_text")
-    grams = notes.where("raw_text IS NOT NULL").where(F.length("raw_text") >= 3).select("record_id", "raw_text", F.explode(F.sequence(F.lit(0), F.length("raw_text") - 3)).alias("at"))
-    grams = grams.where(F.length(low) == F.length("raw_text")).withColumn("_head", F.lower(F.substring(F.col("raw_text"), F.col("at") + 1, F.lit(3))))
-    hit = grams.join(lex, "_head").where(F.lower(F.substring(F.col("raw_text"), F.col("at") + 1, F.col("_len"))) == F.col("_low"))
-    each = F.struct("lex_ord", F.col("at").cast("int").alias("start"), (F.col("at") + F.col("_len")).cast("int").alias("end"), F.substring(F.col("raw_text"), F.col("at") + 1, F.col("_len")).alias("text"), "type", "assertions", "candidates")
-    kind = "struct<lex_ord:int,start:int,end:int,text:string,type:string,assertions:array<string>,candidates:array<string>>"
+    letters = notes.where(F.length("raw_text") >= 3).select("record_id", F.split("raw_text", "", -1).alias("_c"), F.length("raw_text").alias("_n"))
+    three = F.transform(F.sequence(F.lit(0), F.col("_n") - 3), lambda i: F.substring(F.lower(F.concat(F.get("_c", i), F.get("_c", i + 1), F.get("_c", i + 2))), 1, 3))
+    places = letters.select("record_id", F.posexplode(three).alias("at", "_head"))
+    near = places.join(lex, "_head").join(notes.select("record_id", "raw_text"), "record_id")
+    here = F.substring(F.col("raw_text"), F.col("at") + 1, F.col("_len"))
+    hit = near.where(F.lower(here) == F.col("_low"))
+    each = F.struct("rank", F.col("at").cast("int").alias("start"), (F.col("at") + F.col("_len")).cast("int").alias("end"), here.alias("text"), "type", "assertions", "candidates")
     folded = hit.groupBy("record_id").agg(F.array_sort(F.collect_list(each)).alias("h"))
-    taken = F.expr(f"aggregate(h, cast(array() AS array<{kind}>), (acc, x) -> CASE WHEN exists(acc, o -> greatest(o.start, x.start) < least(o.end, x.end)) THEN acc ELSE concat(acc, array(x)) END)")
+    taken = F.expr("aggregate(h, slice(h, 1, 0), (acc, x) -> CASE WHEN exists(acc, o -> greatest(o.start, x.start) < least(o.end, x.end)) THEN acc ELSE concat(acc, array(x)) END)")
     return folded.select("record_id", F.explode(taken).alias("x")).select("record_id", "x.start", "x.end", "x.text", "x.type", "x.assertions", "x.candidates")
 
 
@@ -335,14 +338,20 @@ def ner_type(label: Column) -> Column:
 
 
 def ner_spans(tokens: DataFrame, notes: DataFrame, min_score: float = 0.5, source: str = "transformer_ner", gap: int = 1, longest: int = 100) -> DataFrame:
-    """From scored pieces (record_id, chunk_start, start, end, label, score) to spans: offsets shifted, weak and unknown
-    ones dropped, the last of equal spans kept, and neighbours of one type joined while the gap is at most `gap` and
-    the whole at most `longest`. The cap makes the join a fold in the note."""
-    t = tokens.where(F.col("score") >= min_score).select("record_id", (F.col("chunk_start") + F.col("start")).cast("int").alias("start"), (F.col("chunk_start") + F.col("end")).cast("int").alias("end"), ner_type(F.col("label")).alias("concept_type"), F.col("score").cast("double").alias("confidence"), "chunk_start").where("concept_type IS NOT NULL AND start < end")
+    """From scored pieces (record_id, chunk_start, start, end, label, score) to spans: offsets shifted; weak and unknown
+    ones and those that end behind the text dropped; the last of equal spans kept; neighbours of one type joined where
+    nothing or one white space (`gap` at most) lies between and the whole has at most `longest` characters. The cap
+    makes the join a fold in the note."""
+    t = tokens.where(F.col("score") >= min_score).select("record_id", (F.col("chunk_start") + F.col("start")).cast("int").alias("start"), (F.col("chunk_start") + F.col("end")).cast("int").alias("end"), ner_type(F.col("label")).alias("concept_type"), F.col("score").cast("double").alias("confidence"), "chunk_start")
+    t = t.where("concept_type IS NOT NULL AND start >= 0 AND start < end")
     last = t.groupBy("record_id", "start", "end", "concept_type").agg(F.max_by("confidence", "chunk_start").alias("confidence"))
-    runs = last.groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "concept_type", "confidence"))).alias("s"))
-    fold = F.expr(f"aggregate(s, cast(array() AS array<struct<start:int,end:int,concept_type:string,confidence:double>>), (acc, x) -> CASE WHEN size(acc) > 0 AND element_at(acc, -1).concept_type = x.concept_type AND x.start - element_at(acc, -1).end <= {gap} AND greatest(x.end, element_at(acc, -1).end) - element_at(acc, -1).start <= {longest} THEN concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start, 'end', greatest(x.end, element_at(acc, -1).end), 'concept_type', x.concept_type, 'confidence', least(x.confidence, element_at(acc, -1).confidence)))) ELSE concat(acc, array(x)) END)")
-    j = runs.join(notes.select("record_id", "raw_text"), "record_id").select("record_id", "raw_text", F.explode(fold).alias("x"))
+    texts = notes.select("record_id", "raw_text")
+    blank = F.substring(F.col("raw_text"), F.col("end") + 1, F.lit(gap)).rlike(r"(?U)^\s*\z")
+    placed = last.join(texts, "record_id").where(F.col("end") <= F.length("raw_text")).withColumn("blank", blank)
+    runs = placed.groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "concept_type", "confidence", "blank"))).alias("s"))
+    joins = f"size(acc) > 0 AND element_at(acc, -1).concept_type = x.concept_type AND (x.start = element_at(acc, -1).end OR (x.start - element_at(acc, -1).end BETWEEN 1 AND {gap} AND element_at(acc, -1).blank)) AND x.end - element_at(acc, -1).start <= {longest}"
+    fold = F.expr(f"aggregate(s, slice(s, 1, 0), (acc, x) -> CASE WHEN {joins} THEN concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start, 'end', x.end, 'concept_type', x.concept_type, 'confidence', least(x.confidence, element_at(acc, -1).confidence), 'blank', x.blank))) ELSE concat(acc, array(x)) END)")
+    j = runs.select("record_id", F.explode(fold).alias("x")).join(texts, "record_id")
     return j.select("record_id", "x.start", "x.end", T.cut(F.col("raw_text"), F.col("x.start"), F.col("x.end")).alias("text"), "x.concept_type", "x.confidence", F.lit(source).alias("source"))
 
 

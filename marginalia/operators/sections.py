@@ -28,7 +28,7 @@ def with_sections(notes: DataFrame) -> DataFrame:
     first is `unknown`, so is a text without headings. In steps, so that no step is computed more than once."""
     raw = F.col("raw_text")
     bare = lambda x: F.substring_index(F.regexp_replace(x, r"(?U)^\s*(?:[#*\-]+|\d+[.)])\s*", ""), ":", 1)
-    strip = lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    strip = lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+\z", "")
     rows = notes.withColumn("_m", T.hits(raw, HEADING))
     rows = rows.withColumn("_m", F.transform("_m", lambda h: F.struct(h["start"].alias("start"), strip(T.cut(raw, h["start"], h["end"])).alias("line"))))
     rows = rows.withColumn("_m", F.transform("_m", lambda h: F.struct(h["start"].alias("start"), h["line"].alias("line"), T.norm(bare(h["line"])).alias("n"))))
@@ -51,7 +51,7 @@ def sentences(raw: Column) -> Column:
     """C4: array<struct<start,end>> of the trimmed text between runs of full stops and line feeds."""
     parts = T.hits(raw, r"[^.\n]+")
     lead = lambda p: F.length(F.regexp_extract(T.cut(raw, p["start"], p["end"]), r"(?U)^\s*", 0))
-    tail = lambda p: F.length(F.regexp_extract(T.cut(raw, p["start"], p["end"]), r"(?U)\s*$", 0))
+    tail = lambda p: F.length(F.regexp_extract(T.cut(raw, p["start"], p["end"]), r"(?U)\s*\z", 0))
     full = F.filter(parts, lambda p: F.length(T.squeeze(T.cut(raw, p["start"], p["end"]))) > 0)
     return F.transform(full, lambda p: F.struct((p["start"] + lead(p)).alias("start"), (p["end"] - tail(p)).alias("end")))
 
@@ -59,14 +59,14 @@ def sentences(raw: Column) -> Column:
 def sentence_window(raw: Column, start: Column, end: Column) -> tuple[Column, Column]:
     """(left context of at most 80 characters, sentence); the sentence begins with the stop before it."""
     prefix, suffix = F.substring(raw, 1, start), F.substring(raw, end + 1, F.length(raw))
-    left = F.regexp_extract(prefix, r"(?s)(?:[.\n])?[^.\n]*$", 0)
+    left = F.regexp_extract(prefix, r"(?s)(?:[.\n])?[^.\n]*\z", 0)
     right = F.regexp_extract(suffix, r"^[^.\n]*", 0)
     return F.when(F.length(left) > 80, F.substring(left, -80, 80)).otherwise(left), F.concat(left, T.cut(raw, start, end), right)
 
 
 def clause_window(raw: Column, start: Column, end: Column) -> tuple[Column, Column]:
     """(left part, clause) between . ; : line feed ! ?"""
-    left = F.regexp_extract(F.substring(raw, 1, start), r"[^.;:\n!?]*$", 0)
+    left = F.regexp_extract(F.substring(raw, 1, start), r"[^.;:\n!?]*\z", 0)
     right = F.regexp_extract(F.substring(raw, end + 1, F.length(raw)), r"^[^.;:\n!?]*", 0)
     return left, F.concat(left, T.cut(raw, start, end), right)
 
@@ -84,8 +84,11 @@ def marked_context(raw: Column, start: Column, end: Column, size: int = 180) ->
 
 
 def chunks(notes: DataFrame, size: int = 320, overlap: int = 48) -> DataFrame:
-    """(record_id, chunk_ord, start, text): pieces that end at the last line feed, sentence, clause or space in
-    the second half, and overlap. Where a piece begins depends on the one before: an Arrow iterator, a note at a time."""
+    """(record_id, chunk_ord, start, text). A chunk of `size` characters that doesn't reach the end is cut before the
+    last line feed or behind the last blank of its second half, where there is one (sentence and clause ends, a mark and
+    a blank, never lie behind that). The next one begins `overlap` characters before the cut, or further left behind the
+    nearest white space, but behind the start of this one; without any, at the cut. Where a chunk begins depends on the
+    one before: an Arrow iterator, a note at a time."""
     import pandas as pd
 
     size = max(80, size)
@@ -96,16 +99,13 @@ def chunks(notes: DataFrame, size: int = 320, overlap: int = 48) -> DataFrame:
         while at < n:
             stop = min(n, at + size)
             if stop < n:
-                ends = [k for mark in ("\n", ". ", "; ", ", ", " ") if (k := text.rfind(mark, at + size // 2, stop)) > at]
-                stop = ends[0] + 1 if ends else stop
-            if text[at:stop].strip():
-                yield at, text[at:stop]
+                feed, blank = (text.rfind(mark, at + size // 2, stop) for mark in "\n ")
+                stop = stop if max(feed, blank) < 0 else max(feed, blank + 1)
+            yield at, text[at:stop]
             if stop >= n:
                 return
             back = max(at + 1, stop - overlap)
-            while back < stop and not text[back - 1].isspace():
-                back += 1
-            at = back
+            at = next((k for k in range(back, at, -1) if text[k - 1].isspace()), stop)
 
     def run(frames):
         for f in frames:

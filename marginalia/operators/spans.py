@@ -65,11 +65,16 @@ NEW_WINS = "CASE WHEN x.concept_type = o.concept_type AND abs(x.confidence - o.c
 _RATIO = "(CASE WHEN greatest(x.end, o.end) = least(x.start, o.start) THEN 0D ELSE greatest(0, least(x.end, o.end) - greatest(x.start, o.start)) / cast(greatest(x.end, o.end) - least(x.start, o.start) AS double) END)"
 
 
+def confident(spans_: DataFrame, min_confidence: float = 0.65) -> DataFrame:
+    """E2."""
+    return spans_.where(F.col("confidence") >= F.lit(min_confidence))
+
+
 def merged(spans_: DataFrame, min_confidence: float = 0.65) -> DataFrame:
     """Confident spans in order of (start, end, confidence descending) fold into slots; a span meets the
     first slot that it overlaps by more than half, and E6 decides who holds the slot. The fold is one aggregate() over
     the sorted spans of a note; spans must be valid (E1)."""
-    line = deduped(spans_.where(F.col("confidence") >= F.lit(min_confidence)))
+    line = deduped(confident(spans_, min_confidence))
     entry = F.struct(F.col("start").alias("a"), F.col("end").alias("b"), (-F.col("confidence")).alias("c"), F.col("first_ord").alias("f"), *FIELDS)
     per_note = line.groupBy("record_id").agg(F.array_sort(F.collect_list(entry)).alias("l"))
     fold = f"aggregate(l, cast(array() AS array<{_LINE}>), (acc, x) -> CASE WHEN exists(acc, o -> {_RATIO} > 0.5D) THEN transform(acc, (o, i) -> CASE WHEN i = array_position(transform(acc, o -> {_RATIO} > 0.5D), true) - 1 AND ({NEW_WINS}) THEN x ELSE o END) ELSE concat(acc, array(x)) END)"

@@ -213,7 +213,13 @@ def c7_context_window(spark, sf):
     return table(spark, sf, "documents").where(F.length("text") > 330).select("doc_id", sections.context_window(F.col("text"), F.lit(200), F.lit(205)).alias("around"))
 
 
-@query()
+@query(r"""WITH RECURSIVE w AS (SELECT doc_id, 0 AS k, 0 AS pos, text FROM documents WHERE length(text) > 0
+UNION ALL SELECT doc_id, k + 1, CASE WHEN regexp_matches(back, '\s') THEN pos + length(regexp_extract(back, '(?s)^.*\s', 0)) ELSE stop END, text
+FROM (SELECT *, substr(text, pos + 1, greatest(pos + 1, stop - 64) - pos) AS back FROM (SELECT *, {stop} AS stop FROM (SELECT *, {half} AS half FROM w))) WHERE stop < length(text))
+SELECT doc_id AS record_id, CAST(k AS INTEGER) AS chunk_ord, CAST(pos AS INTEGER) AS start, substr(text, pos + 1, {stop} - pos) AS text FROM (SELECT *, {half} AS half FROM w)""".format(
+    half="substr(text, pos + 301, 300)",
+    stop=r"CASE WHEN pos + 600 >= length(text) THEN length(text) WHEN regexp_matches(half, '[ \n]') THEN pos + 300 + length(regexp_extract(half, '(?s)^.*[ \n]', 0)) - CASE WHEN regexp_matches(half, '\n[^ \n]*$') THEN 1 ELSE 0 END ELSE pos + 600 END",
+))
 def c8_chunks(spark, sf):
     d = table(spark, sf, "documents").select(F.col("doc_id").alias("record_id"), F.col("text").alias("raw_text"))
     return sections.chunks(d, 600, 64)
@@ -285,14 +291,40 @@ def _generator(name, f):
     query()(run)
 
 
-_generator("d6_cued_diagnoses", extraction.cued_diagnoses)
-_generator("d7_cued_symptoms", extraction.cued_symptoms)
 _generator("d14_generic_lab_pairs", extraction.generic_lab_pairs)
-_generator("d16_long_tests", extraction.long_tests)
 _generator("d19_labs_deduped", extraction.labs)
 _generator("d29_all_rules", extraction.rules)
 
 
+def _made(spark, sf, sql: str) -> DataFrame:
+    """Notes by an expression over the parts (column k)."""
+    table(spark, sf, "part").createOrReplaceTempView("part")
+    return sections.with_sections(spark.sql(f"SELECT cast(k AS string) AS record_id, {sql} AS raw_text FROM (SELECT p_partkey AS k, char(10) AS nl FROM part)"))
+
+
+_D, _S = (lambda key: synth._pick(synth.DIAGNOSES, key, False)), (lambda key: synth._pick(synth.SYMPTOMS, key, False))
+_TESTS = ["điện tâm đồ", "công thức máu", "siêu âm tim", "tổng phân tích nước tiểu"]
+
+
+@query(f"""WITH p AS (SELECT CAST(k AS VARCHAR) AS record_id, {_D('k')} AS a, {_D('k + 2')} AS b, {_D('k + 3')} AS c FROM (SELECT p_partkey AS k FROM part))
+SELECT record_id, a AS text, 16 AS start, 0.80 AS confidence FROM p UNION ALL SELECT record_id, b, CAST(18 + length(a) AS INTEGER), 0.80 FROM p UNION ALL SELECT record_id, c, CAST(32 + length(a) + length(b) AS INTEGER), 0.74 FROM p""")
+def d6_cued_diagnoses(spark, sf):
+    n = _made(spark, sf, f"'Được chẩn đoán: ' || {_D('k')} || ', ' || {_D('k + 2')} || '.' || nl || 'Tiền sử mắc ' || {_D('k + 3')} || '.'")
+    return extraction.cued_diagnoses(n).select("record_id", "text", "start", F.col("confidence").cast("decimal(4,2)").alias("confidence"))
+
+
+@query(f"""WITH p AS (SELECT CAST(k AS VARCHAR) AS record_id, {_S('k')} AS a, {_S('k + 3')} AS b FROM (SELECT p_partkey AS k FROM part))
+SELECT record_id, a AS text, 12 AS start FROM p UNION ALL SELECT record_id, b, CAST(14 + length(a) AS INTEGER) FROM p""")
+def d7_cued_symptoms(spark, sf):
+    n = _made(spark, sf, f"'Than phiền: ' || {_S('k')} || ', ' || {_S('k + 3')} || ', tái khám.'")
+    return extraction.cued_symptoms(n).select("record_id", "text", "start")
+
+
+@query(f"SELECT CAST(k AS VARCHAR) AS record_id, {synth._pick(_TESTS, 'k', True)} AS text, 4 AS start FROM (SELECT p_partkey AS k FROM part)")
+def d16_long_tests(spark, sf):
+    return extraction.long_tests(_made(spark, sf, f"'Làm ' || {synth._pick(_TESTS, 'k', False)} || '.'")).select("record_id", "text", "start")
+
+
 @query(r"SELECT p_partkey, len(list_filter(string_split_regex(p_name || ', ' || p_brand || ' - x', '\s*(?:,|;|\s+-\s+)\s*'), lambda x: length(x) BETWEEN 3 AND 90)) AS n FROM part")
 def d8_phrase_parts(spark, sf):
     p = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("record_id"), F.concat("p_name", F.lit(", "), "p_brand", F.lit(" - x")).alias("raw_text"), F.array().cast(f"array<{sections.SECTION}>").alias("sections"))
@@ -376,7 +408,8 @@ def _tokens(spark, sf):
     return n, rows.select("record_id", "chunk_start", "x.*")
 
 
-@query(N + ", g AS (SELECT record_id, raw_text, CAST(10 + k % 5 AS INTEGER) AS o FROM n WHERE length(raw_text) > 60) SELECT record_id, o AS start, o + 9 AS fin, 'diagnosis' AS concept_type, CAST(0.8 AS DOUBLE) AS confidence, substr(raw_text, o + 1, 9) AS text FROM g UNION ALL SELECT record_id, o + 12, o + 15, 'drug', CAST(0.7 AS DOUBLE), substr(raw_text, o + 13, 3) FROM g")
+@query(N + r""", g AS (SELECT record_id, raw_text, CAST(10 + k % 5 AS INTEGER) AS o FROM n WHERE length(raw_text) > 60), f AS (SELECT *, regexp_matches(substr(raw_text, o + 5, 1), '^\s$') AS joined FROM g)
+SELECT record_id, o AS start, o + 9 AS fin, 'diagnosis' AS concept_type, CAST(0.8 AS DOUBLE) AS confidence, substr(raw_text, o + 1, 9) AS text FROM f WHERE joined UNION ALL SELECT record_id, o, o + 4, 'diagnosis', CAST(0.9 AS DOUBLE), substr(raw_text, o + 1, 4) FROM f WHERE NOT joined UNION ALL SELECT record_id, o + 5, o + 9, 'diagnosis', CAST(0.8 AS DOUBLE), substr(raw_text, o + 6, 4) FROM f WHERE NOT joined UNION ALL """+ "SELECT record_id, o + 12, o + 15, 'drug', CAST(0.7 AS DOUBLE), substr(raw_text, o + 13, 3) FROM g")
 def d23_token_model_spans(spark, sf):
     n, t = _tokens(spark, sf)
     return extraction.ner_spans(t, n).select("record_id", "start", F.col("end").alias("fin"), "concept_type", "confidence", "text")
@@ -422,10 +455,16 @@ def e1_valid_spans(spark, sf):
 
 @query(S + " SELECT record_id, gen_ord FROM s WHERE confidence >= CAST(0.72 AS DOUBLE)")
 def e2_confident(spark, sf):
-    return synth.span_rows(spark, sf).where(F.col("confidence") >= F.lit(0.72)).select("record_id", "gen_ord")
+    return spans.confident(synth.span_rows(spark, sf), 0.72).select("record_id", "gen_ord")
 
 
-@query()
+@query(S + """, x AS (SELECT * REPLACE (CASE WHEN gen_ord = 2 THEN 'x_ner' ELSE source END AS source) FROM s),
+r AS (SELECT * FROM x WHERE source <> 'x_ner'),
+m AS (SELECT * FROM x WHERE source = 'x_ner' AND confidence >= CAST(0.9 AS DOUBLE) AND length(trim(text)) >= 3),
+c AS (SELECT DISTINCT m.record_id, m.concept_type, m.start AS m0, m."end" AS m1, m.text AS mt, m.confidence AS mc, m.gen_ord AS mo FROM m JOIN r ON r.record_id = m.record_id AND r.concept_type = m.concept_type AND r.source <> 'model_exact' AND abs(r.start - m.start) <= 2 AND abs(r."end" - m."end") <= 2),
+f AS (SELECT r.record_id, r.gen_ord, m0, m1, mt, row_number() OVER (PARTITION BY r.record_id, r.gen_ord ORDER BY m1 - m0 DESC, mc DESC, mo) AS n FROM r JOIN c ON r.record_id = c.record_id AND r.concept_type = c.concept_type WHERE r.source = 'model_exact' AND r.concept_type IN ('symptom', 'lab_test')
+  AND ((r.start <= m0 AND m1 <= r."end" AND (r."end" - r.start) - (m1 - m0) >= 8) OR (r.concept_type = 'lab_test' AND m0 <= r.start AND r."end" <= m1 AND (m1 - m0) - (r."end" - r.start) >= 3)))
+SELECT r.record_id, r.gen_ord, coalesce(m0, r.start) AS start, coalesce(m1, r."end") AS "end", coalesce(mt, r.text) AS text FROM r LEFT JOIN f ON f.record_id = r.record_id AND f.gen_ord = r.gen_ord AND f.n = 1""")
 def e3_boundary_consensus(spark, sf):
     s = synth.span_rows(spark, sf).withColumn("source", F.when(F.col("gen_ord") == 2, "x_ner").otherwise(F.col("source")))
     return spans.boundary_consensus(s).select("record_id", "gen_ord", "start", "end", "text")
@@ -508,9 +547,9 @@ def _terms(spark, sf):
     return terminology.terms(rows)
 
 
-def _mentions(spark, sf, text: str, which: str = "p_partkey % 10 = 0"):
-    """Mentions of the parts that the SQL of a query takes; queries without SQL take all ("true")."""
-    return table(spark, sf, "part").where(which).selectExpr("cast(p_partkey AS string) AS mention_id", f"{text} AS mention", "'drug' AS concept_type")
+def _mentions(spark, sf, text: str) -> DataFrame:
+    """A mention of every part."""
+    return table(spark, sf, "part").selectExpr("cast(p_partkey AS string) AS mention_id", f"{text} AS mention", "'drug' AS concept_type")
 
 
 @query("SELECT p_partkey, lower(p_name) || ' ' || p_size || ' mg oral tablet' AS norm FROM part")
@@ -524,34 +563,37 @@ def f2_strength_keys(spark, sf):
     return p.select("p_partkey", F.array_join(T.strength_keys(F.col("t")), "|").alias("keys"))
 
 
-@query("SELECT m.p_partkey AS mention, count(*) AS hits FROM part m JOIN part t ON lower(m.p_name) = lower(t.p_name) AND m.p_size = t.p_size WHERE m.p_partkey % 10 = 0 GROUP BY m.p_partkey")
+@query("SELECT m.p_partkey AS mention, count(*) AS hits FROM part m JOIN part t ON lower(m.p_name) = lower(t.p_name) AND m.p_size = t.p_size GROUP BY m.p_partkey")
 def f3_exact_lookup(spark, sf):
     t = _terms(spark, sf)
     m = _mentions(spark, sf, "upper(concat(p_name, ' ', p_size, ' mg oral tablet'))")
     return terminology.lookup(m, terminology.exact_keys(t), t, T.norm(F.col("mention"))).groupBy(F.col("mention_id").cast("long").alias("mention")).agg(F.count("*").alias("hits"))
 
 
-@query("SELECT p_partkey AS mention, 1 AS hits FROM part WHERE p_partkey % 10 = 0")
+@query("SELECT p_partkey AS mention, 1 AS hits FROM part")
 def f4_alias_lookup(spark, sf):
     t = _terms(spark, sf)
     m = _mentions(spark, sf, "concat('Brand (', p_name, ') ', p_partkey)")
     return terminology.lookup(m, terminology.alias_keys(t), t, T.norm(F.col("mention"))).groupBy(F.col("mention_id").cast("long").alias("mention")).agg(F.count("*").cast("int").alias("hits"))
 
 
-@query("SELECT p_partkey AS mention, 'dai ' || p_partkey AS key FROM part WHERE p_partkey % 10 = 0")
+@query("SELECT p_partkey AS mention, 'dai ' || p_partkey AS key FROM part")
 def f5_folded_lookup(spark, sf):
-    rows = table(spark, sf, "part").where("p_partkey % 10 = 0").selectExpr("p_partkey AS ord", "concat('ICD10:', p_partkey) AS concept_id", "concat('Đái ', p_partkey) AS name", "'ICD10_VI' AS source", "'diagnosis' AS semantic_type", "array() AS aliases", "'v' AS version", "'vi' AS language", "cast(null AS string) AS term_type")
+    rows = table(spark, sf, "part").selectExpr("p_partkey AS ord", "concat('ICD10:', p_partkey) AS concept_id", "concat('Đái ', p_partkey) AS name", "'ICD10_VI' AS source", "'diagnosis' AS semantic_type", "array() AS aliases", "'v' AS version", "'vi' AS language", "cast(null AS string) AS term_type")
     t = terminology.terms(rows)
     m = rows.select(F.col("ord").cast("string").alias("mention_id"), F.concat(F.lit("dai "), F.col("ord").cast("string")).alias("mention"), F.lit("diagnosis").alias("concept_type"))
     return terminology.lookup(m, terminology.folded_keys(t), t, T.folded(F.col("mention"))).select(F.col("mention_id").cast("long").alias("mention"), F.lower("mention").alias("key"))
 
 
-@query()
+@query("""WITH n AS (SELECT p_partkey AS k, lower(p_name) AS m, lower(p_name) || ' ' || p_size || ' mg oral tablet' AS t FROM part),
+m AS (SELECT k, unnest(string_split(m, ' ')) AS w, generate_subscripts(string_split(m, ' '), 1) AS o FROM n), t AS (SELECT DISTINCT k, unnest(string_split(t, ' ')) AS w FROM n),
+h AS (SELECT m.k, t.k AS c, min(m.o) AS o FROM m JOIN t ON t.w = m.w WHERE length(m.w) >= 3 GROUP BY m.k, t.k)
+SELECT CAST(k AS VARCHAR) AS mention_id, 'Rx' || c AS concept_id, CAST(place AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY o, c) AS place FROM h) WHERE place <= 20""")
 def f6_token_lookup(spark, sf):
-    return terminology.token_lookup(_mentions(spark, sf, "lower(p_name)", "true"), _terms(spark, sf)).select("mention_id", "concept_id", "place")
+    return terminology.token_lookup(_mentions(spark, sf, "lower(p_name)"), _terms(spark, sf)).select("mention_id", "concept_id", "place")
 
 
-@query("SELECT m.p_partkey AS mention, count(DISTINCT t.p_partkey) AS hits FROM part m JOIN part t ON m.p_size = t.p_size AND t.p_partkey % 4 IN (0, 2) WHERE m.p_partkey % 10 = 0 GROUP BY m.p_partkey")
+@query("SELECT m.p_partkey AS mention, count(DISTINCT t.p_partkey) AS hits FROM part m JOIN part t ON m.p_size = t.p_size AND t.p_partkey % 4 IN (0, 2) GROUP BY m.p_partkey")
 def f7_strength_lookup(spark, sf):
     return terminology.strength_lookup(_mentions(spark, sf, "concat('x ', p_size, 'mg')"), _terms(spark, sf)).groupBy(F.col("mention_id").cast("long").alias("mention")).agg(F.countDistinct("concept_id").alias("hits"))
 
@@ -573,14 +615,14 @@ def f9_compatible(spark, sf):
     return rows.select("kind", F.coalesce("semantic_type", F.lit("-")).alias("semantic_type"), "source", terminology.compatible(F.col("kind")).alias("fits"))
 
 
-@query("SELECT p_partkey AS mention, unnest([p_name || ' ' || p_size || ' mg', p_name]) AS variant FROM part WHERE p_partkey % 10 = 0")
+@query("SELECT p_partkey AS mention, unnest([p_name || ' ' || p_size || ' mg', p_name]) AS variant FROM part")
 def f10_variants(spark, sf):
     return terminology.variants(_mentions(spark, sf, "concat(p_name, ' ', p_size, ' mg')")).select(F.col("mention_id").cast("long").alias("mention"), "variant")
 
 
 @query()
 def f11_strength_candidates(spark, sf):
-    return terminology.strength_candidates(_mentions(spark, sf, "concat(p_name, ' ', p_size, ' mg po daily')", "true"), _terms(spark, sf)).select("mention_id", "concept_id", F.round("score", 6).alias("score"))
+    return terminology.strength_candidates(_mentions(spark, sf, "concat(p_name, ' ', p_size, ' mg po daily')"), _terms(spark, sf)).select("mention_id", "concept_id", F.round("score", 6).alias("score"))
 
 
 @query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 0.04 WHEN 1 THEN -0.08 WHEN 2 THEN 0.02 ELSE -0.03 END AS score FROM part")
@@ -592,7 +634,7 @@ def f12_form_score(spark, sf):
 
 @query()
 def f13_candidate_cascade(spark, sf):
-    m = _mentions(spark, sf, "CASE WHEN p_partkey % 20 = 0 THEN concat(p_name, ' ', p_size, ' mg oral tablet') ELSE concat('brand ', p_name, ' ', p_partkey) END", "true")
+    m = _mentions(spark, sf, "CASE WHEN p_partkey % 20 = 0 THEN concat(p_name, ' ', p_size, ' mg oral tablet') ELSE concat('brand ', p_name, ' ', p_partkey) END")
     return terminology.candidates(m, _terms(spark, sf)).select("mention_id", "concept_id", "match_type", F.round("score", 6).alias("score"))
 
 
@@ -684,11 +726,19 @@ def h1_strict_lab_pairs(spark, sf):
     return algebra.strict_lab_pairs(empty, synth.notes(spark, sf, False)).select("record_id", "start", "text")
 
 
-@query(E + " SELECT type, count(*) AS entities, count(*) FILTER (WHERE len(candidates) = 0) AS without_candidates, count(*) FILTER (WHERE list_contains(assertions, 'isNegated')) AS \"isNegated\", CAST(0 AS BIGINT) AS \"isFamily\", CAST(0 AS BIGINT) AS \"isHistorical\" FROM a GROUP BY type")
+@query(E + " SELECT type, count(*) AS entities, count(*) FILTER (WHERE len(candidates) = 0 AND type IN ('CHẨN_ĐOÁN', 'THUỐC')) AS without_candidates, count(*) FILTER (WHERE list_contains(assertions, 'isNegated')) AS \"isNegated\", CAST(0 AS BIGINT) AS \"isFamily\", CAST(0 AS BIGINT) AS \"isHistorical\" FROM a GROUP BY type")
 def h2_type_report(spark, sf):
     return algebra.type_report(synth.entity_rows(spark, sf, "a"))
 
 
+@query(_LAB + "SELECT record_id, 'TRIỆU_CHỨNG' AS type, s1 AS text, 17 AS start FROM w WHERE k % 2 = 1 UNION ALL SELECT record_id, 'TRIỆU_CHỨNG', s2, CAST(19 + length(s1) AS INTEGER) FROM w WHERE k % 2 = 1 UNION ALL SELECT record_id, 'TRIỆU_CHỨNG', CASE (k + 5) % 7 " + " ".join(f"WHEN {i} THEN '{w}'" for i, w in enumerate(synth.SYMPTOMS)) + " END, CAST(p6 + 15 AS INTEGER) FROM w WHERE k % 3 = 1 AND k % 2 = 1 UNION ALL SELECT record_id, 'TÊN_XÉT_NGHIỆM', lab, CAST(a AS INTEGER) FROM w WHERE lab <> 'Kali'")
+def h2_uncovered_terms(spark, sf):
+    n = synth.notes(spark, sf)
+    e = spans.entities(extraction.symptom_lexicon(n.where("cast(record_id AS long) % 2 = 0")))
+    rows = e.select("record_id", "type", F.col("position")[0].alias("start"), F.col("position")[1].alias("end"))
+    return algebra.uncovered_terms(rows, n).select("record_id", "type", "text", "start")
+
+
 @query(S + """, e AS (SELECT record_id, gen_ord, start, "end", concept_type AS type, lead(start) OVER (PARTITION BY record_id ORDER BY start, "end", concept_type, gen_ord) AS nxt FROM s) SELECT record_id, start, "end" AS fin, type FROM e WHERE nxt < "end" """)
 def h2_overlap_findings(spark, sf):
     rows = synth.span_rows(spark, sf).select("record_id", F.col("gen_ord").alias("ord"), "text", F.col("concept_type").alias("type"), "start", "end")
@@ -696,7 +746,9 @@ def h2_overlap_findings(spark, sf):
     return algebra.findings(rows, notes).where("finding = 'overlaps_next'").select("record_id", "start", F.col("end").alias("fin"), "type")
 
 
-@query(E + """, j AS (SELECT a.record_id, a.ord, min(b."end") AS e FROM a JOIN b ON a.record_id = b.record_id AND a.type = b.type AND a.start = b.start WHERE a.type = 'TÊN_XÉT_NGHIỆM' AND b."end" > a."end" AND b."end" - a."end" <= 24 AND starts_with(b.text, a.text) GROUP BY ALL) SELECT a.record_id, a.ord, coalesce(j.e, a."end") AS fin FROM a LEFT JOIN j ON j.record_id = a.record_id AND j.ord = a.ord""")
+@query(E + """, j AS (SELECT a.record_id, a.ord, min(b."end") AS e FROM a JOIN b ON a.record_id = b.record_id AND a.type = b.type AND a.start = b.start WHERE a.type = 'TÊN_XÉT_NGHIỆM' AND b."end" > a."end" AND b."end" - a."end" <= 24 AND starts_with(lower(b.text), lower(a.text)) AND NOT regexp_matches(b.text, '[\\n;:]') GROUP BY ALL),
+k AS (SELECT a.record_id, a.ord, a.start, a.type, coalesce(j.e, a."end") AS fin FROM a LEFT JOIN j ON j.record_id = a.record_id AND j.ord = a.ord)
+SELECT record_id, ord, fin FROM (SELECT *, row_number() OVER (PARTITION BY record_id, start, fin, type ORDER BY ord) AS r FROM k) WHERE r = 1""")
 def h3_expanded_labs(spark, sf):
     return algebra.expanded_labs(synth.entity_rows(spark, sf, "a"), synth.entity_rows(spark, sf, "b")).select("record_id", "ord", F.col("end").alias("fin"))
 
@@ -706,16 +758,28 @@ def h4_safe_ablation(spark, sf):
     return algebra.ablated(synth.entity_rows(spark, sf, "a"), synth.entity_rows(spark, sf, "b"), ["isNegated"]).select("record_id", "ord", F.array_join("assertions", ",").alias("said"))
 
 
-@query(E + """, d AS (SELECT a.record_id, a.ord, arg_max(b.candidates, 1) AS c FROM a JOIN b ON a.record_id = b.record_id AND a.type = b.type AND a.start = b.start GROUP BY ALL) SELECT a.record_id, a.ord, coalesce(d.c[1], '') AS code FROM a LEFT JOIN d ON a.record_id = d.record_id AND a.ord = d.ord""")
+@query(E + """, p AS (SELECT a.record_id, a.ord, b.candidates, a.start = b.start AND a."end" = b."end" AND a.text = b.text AS same, least(a."end", b."end") - greatest(a.start, b.start) AS size, abs((a."end" - a.start) - (b."end" - b.start)) AS off, b.ord AS o
+  FROM a JOIN b ON a.record_id = b.record_id AND a.type = b.type AND ((b.start <= a.start AND a."end" <= b."end") OR (a.start <= b.start AND b."end" <= a."end"))),
+d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY record_id, ord ORDER BY same DESC, CASE WHEN same THEN -o END, size DESC, off, o) AS r FROM p WHERE size > 0 OR same) WHERE r = 1)
+SELECT a.record_id, a.ord, coalesce((CASE WHEN a.type NOT IN ('CHẨN_ĐOÁN', 'THUỐC') THEN CAST([] AS VARCHAR[]) WHEN d.ord IS NOT NULL THEN d.candidates WHEN a.type = 'THUỐC' THEN a.candidates ELSE CAST([] AS VARCHAR[]) END)[1], '') AS code
+FROM a LEFT JOIN d ON a.record_id = d.record_id AND a.ord = d.ord""")
 def h5_projected_candidates(spark, sf):
     return algebra.projected_candidates(synth.entity_rows(spark, sf, "a"), synth.entity_rows(spark, sf, "b")).select("record_id", "ord", F.coalesce(F.get("candidates", F.lit(0)), F.lit("")).alias("code"))
 
 
-@query(E + " SELECT record_id, ord, piece, text FROM (SELECT record_id, ord FROM a WHERE type = 'THUỐC') x, (VALUES (0, 'aspirin'), (1, 'metformin'), (2, 'losartan')) v(piece, text)")
+_RUN = "CASE ord % 4 WHEN 0 THEN 'AspirinMetformin losartan' WHEN 1 THEN 'XyzabcAspirin' WHEN 2 THEN 'LosartanXyzabc tab' ELSE 'MetforminQuinidine' END"
+
+
+@query(E + f""", x AS (SELECT *, {_RUN} AS run FROM a WHERE type = 'THUỐC')
+SELECT record_id, ord, piece, substr(run, s + 1, e - s) AS text, CAST(start + s AS INTEGER) AS start, code FROM x JOIN (VALUES (0, 0, 0, 7, '1'), (0, 1, 7, 16, '2'), (2, 0, 0, 8, '3'), (3, 0, 0, 9, '2'), (3, 1, 9, 18, '9')) v(m, piece, s, e, code) ON x.ord % 4 = v.m
+UNION ALL SELECT record_id, ord, 0, run, start, candidates[1] FROM x WHERE ord % 4 = 1 UNION ALL SELECT record_id, ord, 0, text, start, coalesce(candidates[1], '') FROM a WHERE type <> 'THUỐC'""")
 def h6_concatenated_drugs(spark, sf):
-    rows = synth.entity_rows(spark, sf, "a").withColumn("text", F.lit("AspirinMetformin losartan"))
-    names = algebra.canonical_drug_names(spark.createDataFrame([("THUỐC", ["1"], "aspirin"), ("THUỐC", ["1"], "aspirin tab"), ("THUỐC", ["2"], "metformin"), ("THUỐC", ["3"], "losartan")], "type string, candidates array<string>, text string"))
-    return algebra.split_drugs(rows, names).select("record_id", "ord", "piece", "text")
+    rows = synth.entity_rows(spark, sf, "a").withColumn("text", F.when(F.col("type") == "THUỐC", F.expr(_RUN)).otherwise(F.col("text")))
+    known = [("r", 1, "THUỐC", ["1"], "aspirin"), ("r", 2, "THUỐC", ["1"], "aspirinum"), ("r", 3, "THUỐC", ["2"], "Metformin "), ("r", 4, "THUỐC", ["3"], "losartan"), ("r", 5, "THUỐC", ["4"], "two words")]
+    names = algebra.canonical_drug_names(spark.createDataFrame(known, "record_id string, ord int, type string, candidates array<string>, text string"))
+    term = spark.createDataFrame([(1, "Rx9", "Quinidine", "RxNorm", "drug", "v", "en", "IN")], "ord long, concept_id string, name string, source string, semantic_type string, version string, language string, term_type string")
+    t = terminology.terms(term.withColumn("aliases", F.array().cast("array<string>")))
+    return algebra.split_drugs(rows, names, t).select("record_id", "ord", "piece", "text", "start", F.coalesce(F.get("candidates", F.lit(0)), F.lit("")).alias("code"))
 
 
 @query(E + """ SELECT a.record_id, a.ord, coalesce(b.candidates, a.candidates)[1] AS code FROM a LEFT JOIN b ON a.record_id = b.record_id AND a.start = b.start AND a."end" = b."end" AND a.type = b.type AND a.text = b.text""")
