@@ -10,8 +10,8 @@ Banding can't see a passage that others embed in paragraphs of their own, so a s
 finds those that repeat to the word: lines are cut before each word whose hash is the least of the 5 words on either
 side, which cuts equal passages alike wherever they stand. Pieces of at least `piece_words` words and `piece_bytes`
 bytes that an earlier place has (a band over the whole piece: Jaccard 1) chain to runs where they touch at both places;
-a run of `seed_words` words or more is a seed. Seeds are extended word by word to either side, by up to `context` words,
-as long as both places agree, and removed if they then have `min_words` words. Each removed word has an equal one at an
+a run of `seed_words` words or more is a seed. Seeds are extended word by word to either side, by up to `context` words
+of their line, as long as both places agree, and removed if they then have `min_words` words. Each removed word has an equal one at an
 earlier place, so its first place stays. Touching spans are merged.
 
 Defined cases: places are ordered by (id, byte). Words are runs of bytes other than white space, A-Z lowered; each
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import kit
 from .components import components
-from .store import BROADCAST_IDS, by_ids, materialise
+from .store import BROADCAST_IDS, by_ids, discard, materialise
 from .tiles import crowd_links
 
 BANDS, ROWS, SHINGLE, MIN_WORDS, PIECE_WORDS, PIECE_BYTES, REACH, SMALL, SEED = 10, 3, 5, 20, 6, 40, 5, 16, 43
@@ -128,7 +128,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     # what is still apart in a crowded band: all its pairs (every member is in a pair, with the hub at least)
     more = crowd_links(crowd, comp, lambda reps: sets.join(reps, "rep", "left_semi"), threshold)
     if more is not None:
-        comp = components(links.union(materialise(more, "links")), "a", "b")
+        comp = materialise(components(links.union(materialise(more, "links")), "a", "b"), "components")
+    for table in (own, pairs, need, sets):  # nothing reads them any more
+        discard(table)
     comp = comp.toDF("rep", "c")
     led = classes.join(comp, "rep", "left").select("k1", "k2", "p", F.coalesce("c", "rep").alias("c"))
     heads = led.groupBy("c").agg(F.min("p").alias("first"))
@@ -139,8 +141,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
 
 
 def _contexts(batches):
-    """(id, s, e, and the hashes and bounds of up to CONTEXT words before s and behind e, nearest first) of rows (id,
-    text, want array<struct<s,e>>)."""
+    """(id, s, e, and the hashes and bounds of up to CONTEXT words of the line before s and behind e, nearest first) of
+    rows (id, text, want array<struct<s,e>>). Whole lines have none: lines that repeat one behind the other chain."""
     powers = kit.Powers()
     for b in batches:
         data, offs = kit.buffers(b.column(1))
@@ -150,7 +152,8 @@ def _contexts(batches):
         s, e, at = place.field(0).to_numpy().astype(np.int64), place.field(1).to_numpy().astype(np.int64), at - at[0]
         for lo, hi, d, o in kit.slices(data, offs):
             low = kit.LOWER[d]
-            ws, we, wf = kit.words(low, o, kit.NONSPACE, kit.UNSPACED)
+            ws, we, _ = kit.words(low, o, kit.NONSPACE, kit.UNSPACED)
+            ls, le, _ = _lines(d, o)
             h = kit.span_hashes(low, ws, we, powers).astype(np.uint32).view(np.int32)
             mine = slice(at[lo], at[hi])
             text = np.repeat(np.arange(hi - lo), np.diff(at[lo : hi + 1]))
@@ -158,7 +161,9 @@ def _contexts(batches):
             columns = [pa.array(ids[lo + text]), pa.array(s[mine].astype(np.int32)), pa.array(e[mine].astype(np.int32))]
             first = np.searchsorted(ws, begin)
             last = np.searchsorted(ws, end)
-            for n, step, origin in ((np.minimum(first - wf[text], CONTEXT), -1, first - 1), (np.minimum(wf[text + 1] - last, CONTEXT), 1, last)):
+            top = np.searchsorted(ws, ls[np.searchsorted(ls, begin, side="right") - 1]) if len(begin) else first
+            low_end = np.searchsorted(ws, le[np.searchsorted(ls, end - 1, side="right") - 1]) if len(end) else last
+            for n, step, origin in ((np.minimum(first - top, CONTEXT), -1, first - 1), (np.minimum(low_end - last, CONTEXT), 1, last)):
                 n = np.maximum(n, 0)
                 cut = np.concatenate(([0], np.cumsum(n)))
                 k = np.repeat(origin, n) + step * (np.arange(cut[-1]) - np.repeat(cut[:-1], n))
@@ -180,6 +185,7 @@ def _embedded(rows: DataFrame) -> DataFrame:
     chained = later.withColumn("new", F.when(F.coalesce(touch, F.lit(False)), 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
     runs = chained.groupBy("id", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("n").alias("n"), F.min("fid").alias("fid"), F.min("fs").alias("fs"), F.max("fe").alias("fe"))
     seeds = materialise(runs.where(F.col("n") >= SEED_WORDS).drop("run"), "seeds")
+    discard(pieces)
     both = seeds.select("id", "s", "e").union(seeds.select("fid", "fs", "fe")).distinct()
     want = materialise(both.groupBy("id").agg(F.collect_list(F.struct("s", "e")).alias("want")), "wanted")
     held = want.agg(F.sum(16 + 8 * F.size("want"))).first()[0] or 0
