@@ -72,9 +72,9 @@ def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .winnowing import dedup_lines
+    from .winnowing import MIN_BYTES, dedup_lines
 
-    cut = dedup_lines(_table(spark, sf_dir, "documents"))
+    cut = dedup_lines(_table(spark, sf_dir, "documents"), line_bytes=MIN_BYTES)
     return cut.select("doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"), F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 
@@ -116,9 +116,10 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, g.c AS component_id, g.
     "op9_winnowing": """
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents WHERE text IS NOT NULL),
 n AS (SELECT doc_id, i, x, lead(x) OVER (PARTITION BY doc_id ORDER BY i) AS y FROM l),
-w AS (SELECT doc_id, i, x || chr(10) || y AS k FROM n WHERE y IS NOT NULL AND strlen(translate(x || y, ' ' || chr(9) || chr(13), '')) >= 40),
-r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS rn FROM w),
-g AS (SELECT DISTINCT doc_id, i + d AS i FROM r, (VALUES (0), (1)) v(d) WHERE rn > 1)
+w AS (SELECT doc_id, i, 2 AS m, x || chr(10) || y AS k FROM n WHERE y IS NOT NULL AND strlen(translate(x || y, ' ' || chr(9) || chr(13), '')) >= 40
+  UNION ALL SELECT doc_id, i, 1, x FROM n WHERE strlen(translate(x, ' ' || chr(9) || chr(13), '')) >= 40),
+r AS (SELECT doc_id, i, m, row_number() OVER (PARTITION BY m, k ORDER BY doc_id, i) AS rn FROM w),
+g AS (SELECT DISTINCT doc_id, i + d AS i FROM r, (VALUES (0), (1)) v(d) WHERE rn > 1 AND d < m)
 SELECT d.doc_id, coalesce(k.n, 0) AS n_lines, coalesce(k.gone, 0) AS n_removed, coalesce(k.removed, '') AS removed, md5(coalesce(k.t, '')) AS text_md5
 FROM documents d LEFT JOIN (SELECT l.doc_id, count(*) AS n, count(g.i) AS gone, string_agg(CAST(g.i AS VARCHAR), ',' ORDER BY g.i) AS removed,
   string_agg(CASE WHEN g.i IS NULL THEN l.x END, chr(10) ORDER BY l.i) AS t FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY l.doc_id) k ON k.doc_id = d.doc_id""",

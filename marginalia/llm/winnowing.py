@@ -7,8 +7,8 @@ From the others the match is extended to both sides: for each window that select
 its left and right is compared with that of the earliest place (in the order id, line) that agrees. A later place is a
 repeat; repeats that touch chain to maximal runs. All lines of a repeat go, which leaves the first place of every run
 of `window` lines. A run needs `min_bytes` bytes besides blanks, so that chance repeats of short lines stay. With
-`line_bytes` a line of that many bytes besides blanks is a window of its own, whatever stands around it (the pipeline's
-rule; the operator's query keeps the rule of its SQL). Places meet the least place of a hash, never each other, so a
+`line_bytes` a line of that many bytes besides blanks is a window of its own, whatever stands around it (the rule of
+the query, of its SQL and of the pipeline). Places meet the least place of a hash, never each other, so a
 line that thousands of documents hold costs as many rows.
 
 Defined cases: lines end at a line feed; a null text has no lines and stays null; empty text is one empty line; a text
@@ -86,10 +86,10 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, window: int, min_bytes: in
     return j.withColumn(text_col, F.when(F.size("_wl_gone") > 0, kept).otherwise(F.col(text_col))).select(*docs.columns, "_wl_n", "_wl_gone")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, min_bytes: int = MIN_BYTES) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, min_bytes: int = MIN_BYTES, line_bytes: int | None = None) -> DataFrame:
     """docs with the text shortened, and n_lines, n_removed and removed (line numbers from 0), which replace columns of
     these names."""
-    cut = _cut(docs, id_col, text_col, window, min_bytes)
+    cut = _cut(docs, id_col, text_col, window, min_bytes, line_bytes)
     return cut.withColumns({"n_lines": F.col("_wl_n"), "n_removed": F.size("_wl_gone").cast("long"), "removed": F.col("_wl_gone")}).drop("_wl_n", "_wl_gone")
 
 

@@ -271,6 +271,9 @@ def test_winnowing(spark):
     assert left.columns == docs.columns and left.where("removed <> 'u'").isEmpty()
     kept = {r.doc_id for r in left.collect()}
     assert kept == {0, 1, 2, 4, 5, 6, 7, 8, None}
+    alone = {r.doc_id: r.removed for r in winnowing.dedup_lines(docs, line_bytes=winnowing.MIN_BYTES).collect()}
+    assert [alone[i] for i in range(10)] == [[], [1, 2], [0, 1], [0, 1], [], [], [1, 2], [], [], [0, 1, 2]]
+    assert alone[None] == []
     assert winnowing.dedup_lines(docs.limit(0)).count() == 0
 
 
