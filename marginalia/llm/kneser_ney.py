@@ -1,19 +1,26 @@
 """Quality by the perplexity of an interpolated modified Kneser-Ney model of trusted text.
 
-Method: 4-grams over 64 byte classes are counted over all trusted documents (labels say so), sharded by n-gram; lower
-orders count distinct left extensions, and discounts come from the counts of counts of each order. The probability of
-every seen n-gram is put together by joins of the count tables, sharded by n-gram or context. Since a table has at
-most 64^4 rows however much text there is (that is why the units are classes of bytes), the finished model is a table
-of bounded size (32 MB in a worker, in 16 bits), and the join of a document's n-grams with it is a lookup while the document is
-read. Every byte of every document is scored. A document is rejected when its mean surprise, shrunk towards the
-trusted mean of its language by `prior` bytes (short texts say little), is above the language's quantile of the same
-figure over trusted documents by more than `margin` nats. Means and quantiles come from one of `FOLDS` parts of the
-trusted documents (by a hash of the id), which the model isn't trained on: text that a model has seen surprises it less.
+Method: 5-grams of UTF-8 bytes are counted over all trusted documents (labels say so), sharded by n-gram; lower orders
+count distinct left extensions, and discounts come from the counts of counts of each order. The probability of every
+seen n-gram is put together by joins of the count tables, sharded by n-gram or context. The model grows with the text it
+is trained on; nothing of it is collected but orders 1 and 2 (at most 256^2 rows).
+
+Documents are scored by joins too, pre-aggregated by block. A block is the documents of a file split, dealt over as many
+parts as its length needs. The distinct 5-grams of each block go, in SHARDS parts by the two bytes before the last, to
+the part of the model with the same two bytes (where there are many blocks, to one of several copies of it), and their
+surprises come back to the block's texts. So an n-gram is sent once for a block, not once for a document, and every byte
+of every document is scored.
+
+A document is rejected when its mean surprise, shrunk towards the trusted mean of its language by `prior` bytes (short
+texts say little), is above the language's quantile of the same figure over trusted documents by more than `margin`
+nats. Means and quantiles come from one of `FOLDS` parts of the trusted documents (by a hash of the id), which the model
+isn't trained on: text that a model has seen surprises it less.
 
 Defined cases: a null or empty text has no surprise and is kept; a language with fewer than `least` trusted documents
 held out, or none named, takes the threshold of all that are held out; where those are fewer than `least`, all trusted
 documents serve for both; without trusted text nothing is rejected; labels with
-null ids or repeated ids count once; repeated documents are separate rows; extra columns stay and are not read.
+null ids or repeated ids count once; repeated documents are separate rows; extra columns stay and are not read; a NUL
+byte reads as the mark before a text.
 """
 
 from __future__ import annotations
@@ -24,110 +31,232 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kit
-from .store import bounded, by_ids, materialise
+from .store import bounded, by_ids, discard, materialise
 
 QUANTILE, MARGIN, PRIOR, LEAST, FOLDS = 0.99, 0.02, 200, 20, 5
-BITS = 6
-#: Bytes of text read at a time; n-grams cost about 25 bytes of memory for each.
+ORDER = 5
+#: Bytes of text read at a time; n-grams cost about 40 bytes of memory for each.
 SLICE = 1 << 18
+#: Bytes of a file that make a block, parts of the n-grams and of the model, and blocks that share a copy of the model.
+BLOCK, SHARDS, SHARED = 16 << 20, 64, 256
 
 
-def gram_classes() -> np.ndarray:
-    """0 stands before a text; letters, one class for capitals, digits, the usual marks, classes of other bytes."""
-    b = np.arange(256)
-    out = np.full(256, 41)
-    out[97:123] = np.arange(1, 27)
-    out[65:91] = 27
-    out[48:58] = 28
-    for k, chars in enumerate([" \t", "\n\r", ".", ",", "-", "'", '"', ":;", "!?", "()[]{}", "|", "#$%&*@"]):
-        out[[ord(c) for c in chars]] = 29 + k
-    out[128:192] = 42 + (b[128:192] & 15)
-    out[192:] = 58 + (b[192:] >> 2 & 3)
-    return out.astype(np.uint8)
-
-
-def grams(data: np.ndarray, offs: np.ndarray, lut: np.ndarray) -> np.ndarray:
-    """The 4-gram that ends at each byte, as 24 bits; before a text stand three zeros."""
-    c = lut[data].astype(np.int32)
+def grams(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """The 5-gram that ends at each byte, as 40 bits; before a text stand four zeros."""
+    c = data.astype(np.int64)
     at = np.arange(len(c)) - np.repeat(offs[:-1], np.diff(offs))
     out = c.copy()
-    for j in (1, 2, 3):
-        prev = np.concatenate((np.zeros(min(j, len(c)), np.int32), c[:-j])) if len(c) else c
-        out |= np.where(at >= j, prev, 0) << (BITS * j)
+    for j in range(1, ORDER):
+        prev = np.concatenate((np.zeros(min(j, len(c)), np.int64), c[:-j])) if len(c) else c
+        out |= np.where(at >= j, prev, 0) << (8 * j)
     return out
 
 
+def _shard(middle):
+    """The part of an n-gram by the two bytes before its last; for arrays and columns alike."""
+    if isinstance(middle, np.ndarray):
+        return ((middle * 40503) & 65535) * SHARDS >> 16
+    return F.shiftright((middle * 40503).bitwiseAND(65535) * SHARDS, 16).cast("int")
+
+
 def _discounts(counts: DataFrame) -> list[float]:
     n = [int(x or 0) for x in counts.agg(*[F.sum((F.col("n") == k).cast("int")) for k in (1, 2, 3, 4)]).first()]
     y = n[0] / (n[0] + 2 * n[1]) if n[0] + n[1] else 0.5
     return [min(k, max(0.0, k - (k + 1) * y * n[k] / n[k - 1])) if n[k - 1] and n[k] else 0.5 * k for k in (1, 2, 3)]
 
 
-def train(texts: DataFrame) -> dict[str, np.ndarray] | None:
-    """The model of (_text): for each order the seen n-grams and their probabilities, the contexts and their weights
-    of the lower order. At most 64^4 + 64^3 + ... rows reach the driver."""
-    lut = gram_classes()
+def train(texts: DataFrame) -> tuple[np.ndarray, DataFrame] | None:
+    """The model of (_text): the probabilities of all pairs of bytes, and for the orders above (kind, g, v): of kind k
+    the seen k-grams and their probabilities, of kind -k the contexts of k-grams and the weights of the order below."""
 
     def count(batches):
         for b in batches:
             data, offs = kit.buffers(b.column(0))
             for _, _, d, o in kit.slices(data, offs, SLICE):
-                v = pa.array(grams(d, o, lut)).value_counts()
+                v = pa.array(grams(d, o)).value_counts()
                 yield pa.RecordBatch.from_arrays([v.field("values"), v.field("counts")], names=["g", "n"])
 
-    tables = {4: materialise(texts.mapInArrow(kit.tidy(count), "g int, n long").groupBy("g").agg(F.sum("n").alias("n")), "grams")}
-    for k in (3, 2, 1):
-        tables[k] = tables[k + 1].select((F.col("g").bitwiseAND((1 << BITS * k) - 1)).alias("g")).groupBy("g").agg(F.count("*").alias("n"))
-    lower, model = None, {}
-    for k in (1, 2, 3, 4):
-        t = tables[k].withColumn("h", F.shiftright("g", BITS)) if k > 1 else tables[k].withColumn("h", F.lit(0))
+    tables = {ORDER: materialise(texts.mapInArrow(kit.tidy(count), "g long, n long").groupBy("g").agg(F.sum("n").alias("n")), "grams")}
+    for k in range(ORDER - 1, 0, -1):
+        tables[k] = tables[k + 1].select(F.col("g").bitwiseAND((1 << 8 * k) - 1).alias("g")).groupBy("g").agg(F.count("*").alias("n"))
+    lower, low, parts = None, np.full(1, 1 / 256), []
+    for k in range(1, ORDER + 1):
+        t = tables[k].withColumn("h", F.shiftright("g", 8))
         d = _discounts(t)
         cut = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
         ctx = t.groupBy("h").agg(F.sum("n").alias("total"), (F.sum(cut) / F.sum("n")).alias("w"))
         p = t.join(ctx, "h").withColumn("own", (F.col("n") - cut) / F.col("total"))
         if lower is None:
-            p = p.select("g", (F.col("own") + F.col("w") / (1 << BITS)).alias("p"))
+            p = p.select("g", (F.col("own") + F.col("w") / 256).alias("p"))
         else:
-            p = p.withColumn("s", F.col("g").bitwiseAND((1 << BITS * (k - 1)) - 1)).join(lower.toDF("s", "q"), "s").select("g", (F.col("own") + F.col("w") * F.col("q")).alias("p"))
+            p = p.withColumn("s", F.col("g").bitwiseAND((1 << 8 * (k - 1)) - 1)).join(lower.toDF("s", "q"), "s").select("g", (F.col("own") + F.col("w") * F.col("q")).alias("p"))
         lower = materialise(p, f"order{k}")
-        for name, table in ((f"p{k}", lower), (f"w{k}", ctx.select("h", "w"))):
-            rows = table.toArrow()
-            model[name] = (rows.column(0).to_numpy().astype(np.int32), rows.column(1).to_numpy().astype(np.float32))
-    return model if len(model["p4"][0]) else None
-
-
-def surprises(model: dict) -> np.ndarray:
-    """-ln p of all 64^4 n-grams."""
-    p = np.full(1, 1 / (1 << BITS), np.float32)
-    for k in (1, 2, 3, 4):
-        w = np.ones(1 << BITS * (k - 1), np.float32)
-        w[model[f"w{k}"][0]] = model[f"w{k}"][1]
-        p = (w * np.repeat(p, 1 << BITS) if k == 1 else w.reshape(1 << BITS, -1, 1) * p.reshape(1, -1, 1 << BITS)).reshape(-1)
-        p[model[f"p{k}"][0]] = model[f"p{k}"][1]
-    np.maximum(p, 1e-30, out=p)
-    np.log(p, out=p)
-    return np.negative(p, out=p)
-
-
-def score(docs: DataFrame, model: dict, keys: list[str]) -> DataFrame:
-    """keys, n (bytes) and total (their surprise) of (keys..., _text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    lut = gram_classes()
-
-    def run(batches):
-        table = surprises(shared.value).astype(np.float16)  # 32 MB, for the task alone: idle workers hold none of it
-        for b in batches:
-            data, offs = kit.buffers(b.column(b.num_columns - 1))
+        if k > 2:
+            parts += [lower.select(F.lit(k).alias("kind"), "g", F.col("p").alias("v")), ctx.select(F.lit(-k).alias("kind"), F.col("h").alias("g"), F.col("w").alias("v"))]
+            continue
+        seen, weights = lower.toArrow(), ctx.select("h", "w").toArrow()  # 256^2 rows at most
+        if not seen.num_rows:
+            return None
+        w = np.ones(256 ** (k - 1))
+        w[weights.column(0).to_numpy()] = weights.column(1).to_numpy()
+        low = np.outer(w, low if k > 1 else np.repeat(low, 256)).reshape(-1)
+        low[seen.column(0).to_numpy()] = seen.column(1).to_numpy()
+    model = parts[0]
+    for x in parts[1:]:
+        model = model.unionByName(x)
+    return low, model
+
+
+def surprises(g: np.ndarray, low: np.ndarray, model: dict[int, tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """-ln p of 5-grams: the probability of the longest seen n-gram, times the weights of the contexts above it. The
+    model has ascending n-grams and values by kind."""
+
+    def find(kind: int, x: np.ndarray, other):
+        keys, values = model.get(kind, (np.zeros(0, np.int64), np.zeros(0)))
+        if not len(keys):
+            return other
+        at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+        return np.where(keys[at] == x, values[at], other)
+
+    q = low[g & 65535]
+    for k in range(3, ORDER + 1):
+        own = g & ((1 << 8 * k) - 1)
+        q = find(k, own, find(-k, own >> 8, 1.0) * q)
+    return -np.log(np.maximum(q, 1e-30))
+
+
+def _pack(a: np.ndarray) -> bytes:
+    """Bytes of equal weight together, compressed."""
+    return pa.Codec("zstd").compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T), asbytes=True)
+
+
+def _unpack(data: bytes, n: int, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    flat = np.frombuffer(pa.Codec("zstd").decompress(data, n * size, asbytes=True), np.uint8)
+    return np.ascontiguousarray(flat.reshape(size, n).T).reshape(-1).view(kind)
+
+
+def _distinct(column: pa.Array) -> np.ndarray:
+    data, offs = kit.buffers(column)
+    found = [np.unique(grams(d, o)) for _, _, d, o in kit.slices(data, offs, SLICE) if len(d)]
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
+def _merge(found: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate(found)) if len(found) > 1 else found[0]
+
+
+def _by_block(batch: pa.RecordBatch):
+    """(block, its rows) of a batch whose last column is the block."""
+    names = batch.column(batch.num_columns - 1).dictionary_encode()
+    code = names.indices.to_numpy()
+    for k, name in enumerate(names.dictionary.to_pylist()):
+        yield name, batch if len(names.dictionary) == 1 else batch.take(pa.array(np.flatnonzero(code == k)))
+
+
+def block_grams(batches):
+    """(_block, shard, n, grams): the distinct n-grams of each block, ascending in each shard, as packed differences.
+    The rows of a split are read one after the other, so a block is done when its split doesn't come any more."""
+    held: dict[str, list[np.ndarray]] = {}
+
+    def out(block):
+        g = _merge(held.pop(block))
+        part = _shard((g >> 8) & 65535)
+        order = np.argsort(part, kind="stable")
+        g, ends = g[order], np.searchsorted(part[order], np.arange(SHARDS + 1))
+        rows = [(s, int(hi - lo), _pack(np.diff(g[lo:hi], prepend=0))) for s, (lo, hi) in enumerate(zip(ends, ends[1:])) if hi > lo]
+        return pa.RecordBatch.from_arrays([pa.array([block] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], names=["_block", "shard", "n", "grams"])
+
+    for b in batches:
+        splits = set()
+        for block, rows in _by_block(b):
+            splits.add(block.rsplit(":", 1)[0])
+            have = held.setdefault(block, [])
+            have.append(_distinct(rows.column(0)))
+            if len(have) > 8:
+                held[block] = [_merge(have)]
+        for block in [x for x in held if x.rsplit(":", 1)[0] not in splits]:
+            yield out(block)
+    for block in list(held):
+        yield out(block)
+
+
+def pack_rows(batches):
+    """(_block, rows): the rows of each block as compressed Arrow streams."""
+    for b in batches:
+        for block, rows in _by_block(b):
+            rows = rows.select(range(rows.num_columns - 1))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                w.write_batch(rows)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.string()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["_block", "rows"])
+
+
+def _is_scan(df: DataFrame) -> bool:
+    """Whether df is a projection of files alone, so that its rows come from the same splits whenever it is read."""
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() == "Project":
+        node = node.children().head()
+    return node.getClass().getSimpleName() == "LogicalRelation"
+
+
+def score(docs: DataFrame, low: np.ndarray, model: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, n (bytes) and total (their surprise) of (keys..., _text), written. A text whose block comes back without the
+    surprise of one of its n-grams stops the job."""
+    own = docs.select(*keys, "_text")
+    rows = own if _is_scan(own) else materialise(own, "texts")
+    parts = F.greatest(F.lit(1), F.ceil(F.input_file_block_length() / BLOCK))
+    block = F.concat_ws(":", F.input_file_name(), F.input_file_block_start(), F.pmod(F.xxhash64(*keys, "_text"), parts))
+    named = rows.withColumn("_block", block)
+    copies = 1 + rows.rdd.getNumPartitions() // SHARED
+    sent = named.select("_text", "_block").mapInArrow(kit.tidy(block_grams), "_block string, shard int, n int, grams binary").withColumn("copy", F.pmod(F.xxhash64("_block"), F.lit(copies)))
+    middle = F.when(F.col("kind") > 0, F.shiftright("g", 8)).otherwise(F.col("g")).bitwiseAND(65535)
+    dealt = model.select("kind", "g", F.col("v").cast("double").alias("v"), _shard(middle).alias("shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))).alias("copy"))
+    pairs = docs.sparkSession.sparkContext.broadcast(low)
+
+    def look(left: pa.Table, right: pa.Table) -> pa.Table:
+        kinds, g, v = (right.column(c).to_numpy() for c in ("kind", "g", "v"))
+        order = np.lexsort((g, kinds))
+        kinds, g, v = kinds[order], g[order], v[order]
+        tables = {int(k): (g[lo:hi], v[lo:hi]) for k in np.unique(kinds) for lo, hi in [np.searchsorted(kinds, [k, k + 1])]}
+        back = [_pack(surprises(np.cumsum(_unpack(x, n, np.int64)), pairs.value, tables).astype(np.float32)) for x, n in zip(left.column("grams").to_pylist(), left.column("n").to_pylist())]
+        return pa.table([left.column("_block"), left.column("shard"), left.column("n"), pa.array(back, pa.binary())], names=["_block", "shard", "n", "found"])
+
+    found = sent.groupBy("shard", "copy").cogroup(dealt.groupBy("shard", "copy")).applyInArrow(look, "_block string, shard int, n int, found binary")
+    packed = named.select(*keys, "_text", "_block").mapInArrow(kit.tidy(pack_rows), "_block string, rows binary")
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", n long, total double"
+
+    def add(left: pa.Table, right: pa.Table) -> pa.Table:
+        streams = left.column("rows").to_pylist()
+        texts = lambda x: pa.ipc.open_stream(x).read_all().combine_chunks()
+        every: list[np.ndarray] = []
+        for x in streams:
+            every.append(_distinct(texts(x).column("_text")))
+            every = [_merge(every)] if len(every) > 8 else every
+        g = _merge(every) if every else np.zeros(0, np.int64)
+        part, value = _shard((g >> 8) & 65535), np.full(len(g), np.nan, np.float32)
+        for s, n, x in zip(*(right.column(c).to_pylist() for c in ("shard", "n", "found"))):
+            value[part == s] = _unpack(x, n, np.float32)
+        if np.isnan(value).any():
+            raise RuntimeError("n-grams of a block were not looked up: its texts are not the same in both readings")
+        out = []
+        for x in streams:
+            t = texts(x)
+            data, offs = kit.buffers(t.column("_text"))
             for lo, hi, d, o in kit.slices(data, offs, SLICE):
-                n = np.diff(o)
-                total = np.zeros(len(n))
+                n, total = np.diff(o), np.zeros(hi - lo)
                 if len(d):
-                    run_sum = np.concatenate(([0.0], np.cumsum(table[grams(d, o, lut)], dtype=np.float64)))
-                    total = run_sum[o[1:]] - run_sum[o[:-1]]
-                yield pa.RecordBatch.from_arrays([*(b.column(i).slice(lo, hi - lo) for i in range(len(keys))), pa.array(n), pa.array(total)], names=[*keys, "n", "total"])
+                    seen, at = np.unique(grams(d, o), return_inverse=True)
+                    run = np.concatenate(([0.0], np.cumsum(value[np.searchsorted(g, seen)][at], dtype=np.float64)))
+                    total = run[o[1:]] - run[o[:-1]]
+                out.append(pa.table([*(t.column(k).slice(lo, hi - lo) for k in keys), pa.array(n), pa.array(total)], names=[*keys, "n", "total"]))
+        return pa.concat_tables(out)
 
-    kinds = dict(docs.dtypes)
-    return docs.select(*keys, "_text").mapInArrow(kit.tidy(run), ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", n long, total double")
+    scored = materialise(packed.groupBy("_block").cogroup(found.groupBy("_block")).applyInArrow(add, schema), "scores")
+    if rows is not own:
+        discard(rows)
+    return scored
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, margin: float = MARGIN, prior: int = PRIOR, least: int = LEAST) -> DataFrame:
@@ -141,7 +270,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     model = train((chosen.where(~apart) if split else chosen).select("_text"))
     if model is None:
         return rows.select(F.col("_id").alias(id_col), F.col("_lang").alias("lang"), F.coalesce(F.octet_length("_text"), F.lit(0)).cast("long").alias("n_bytes"), *(F.lit(None).cast("double").alias(c) for c in ("surprise", "perplexity", "threshold")), F.lit(False).alias("rejected"))
-    scored = materialise(score(rows, model, ["_id", "_lang"]), "scores")
+    scored = score(rows, *model, ["_id", "_lang"])
     held = trusted.where(apart) if split else trusted
     seen = by_ids(scored, held, "_id", "left_semi").where("n > 0")
     means = bounded(seen.groupBy("_lang").agg(F.count("*").alias("docs"), (F.sum("total") / F.sum("n")).alias("mean")).where(F.col("docs") >= least), "means")

@@ -225,11 +225,62 @@ def test_kneser_ney(spark):
     assert kneser_ney.classify(docs.limit(0), labels).count() == 0
 
 
-def test_kneser_ney_sums_to_one(spark):
+def _plain_kneser_ney(texts, order=5):
+    """-ln p of (context, byte) by the definition, one n-gram at a time."""
+    counts = {order: {}}
+    for t in texts:
+        t = (0,) * (order - 1) + tuple(t.encode())
+        for i in range(order - 1, len(t)):
+            g = t[i - order + 1 : i + 1]
+            counts[order][g] = counts[order].get(g, 0) + 1
+    for k in range(order - 1, 0, -1):
+        counts[k] = {}
+        for g in counts[k + 1]:
+            counts[k][g[1:]] = counts[k].get(g[1:], 0) + 1
+    cuts, below = {}, {}
+    for k, c in counts.items():
+        n = [sum(v == j for v in c.values()) for j in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1]) if n[0] + n[1] else 0.5
+        cuts[k] = [min(j, max(0.0, j - (j + 1) * y * n[j] / n[j - 1])) if n[j - 1] and n[j] else 0.5 * j for j in (1, 2, 3)]
+        below[k] = {}
+        for g, v in c.items():
+            total, cut = below[k].get(g[:-1], (0, 0))
+            below[k][g[:-1]] = total + v, cut + cuts[k][min(v, 3) - 1]
+
+    def p(g):
+        if not g:
+            return 1 / 256
+        k, rest = len(g), p(g[1:])
+        if g[:-1] not in below[k]:
+            return rest
+        total, cut = below[k][g[:-1]]
+        v = counts[k].get(g, 0)
+        return (v - cuts[k][min(v, 3) - 1] if v else 0) / total + cut / total * rest
+
+    return lambda g: -np.log(p(g))
+
+
+def test_kneser_ney_equals_its_definition(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "BLOCK", 700)
+    monkeypatch.setattr(kneser_ney, "SHARED", 1)
     rng = random.Random(9)
-    model = kneser_ney.train(spark.createDataFrame([(words(rng, 300),)], "_text string"))
-    p = np.exp(-kneser_ney.surprises(model).astype(np.float64)).reshape(-1, 64).sum(axis=1)
-    assert np.abs(p - 1).max() < 1e-3
+    trusted = [words(rng, 60) for _ in range(12)] + ["", "été naïve 日本語", "a"]
+    docs = [(i, words(rng, 40)) for i in range(40)] + [(40, None), (41, ""), (42, "日本語 ok"), (42, "Zzq#"), (None, trusted[0]), (43, "x" * 20000)] + [(50 + i, trusted[1]) for i in range(30)]
+    low, model = kneser_ney.train(spark.createDataFrame([(t,) for t in trusted], "_text string"))
+    plain, memo = _plain_kneser_ney(trusted), {}
+    want = []
+    for i, t in docs:
+        raw = (0,) * 4 + tuple((t or "").encode())
+        gs = [raw[j - 4 : j + 1] for j in range(4, len(raw))]
+        for g in gs:
+            memo[g] = memo[g] if g in memo else plain(g)
+        want.append((-1 if i is None else i, len(gs), round(sum(memo[g] for g in gs), 1)))
+    got = kneser_ney.score(spark.createDataFrame(docs, "_id long, _text string").repartition(3), low, model, ["_id"])
+    found = [(-1 if r._id is None else r._id, r.n, r.total) for r in got.collect()]
+    assert len(found) == len(want)
+    for w, f in zip(sorted(want), sorted(found)):
+        assert w[:2] == f[:2] and abs(w[2] - f[2]) < 0.06 + 1e-5 * w[2]
+    assert abs(low.reshape(256, 256).sum(axis=1) - 1).max() < 1e-9
 
 
 def test_lsh_forest(spark):
