@@ -25,6 +25,14 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def give_back() -> None:
+    """Gives freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+    if trim is not None:
+        trim(0)
+
+
 def tidy(run):
     """A function of batches for mapInArrow that gives what `run` has freed back to the system at its end. Workers stay
     for later tasks, and their allocators would keep it beside the stages that follow."""
@@ -33,10 +41,7 @@ def tidy(run):
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
-            if trim is not None:
-                trim(0)
+            give_back()
 
     return tidied
 

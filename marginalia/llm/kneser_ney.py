@@ -1,14 +1,13 @@
 """Quality by the perplexity of an interpolated modified Kneser-Ney model of trusted text.
 
 Method: 5-grams of UTF-8 bytes are counted over all trusted documents (labels say so), sharded by n-gram; lower orders
-count distinct left extensions, and discounts come from the counts of counts of each order. The probability of every
-seen n-gram is put together by joins of the count tables, sharded by n-gram or context. The model grows with the text it
-is trained on; nothing of it is collected but orders 1 and 2 (at most 256^2 rows).
+count distinct left extensions, and discounts come from the counts of counts of each order. The counts grow with the
+text the model is trained on; nothing of them is collected but order 2 (at most 256^2 rows).
 
 Documents are scored by joins too, pre-aggregated by block. A block is the documents of a file split, dealt over as many
 parts as its length needs. The distinct 5-grams of each block go, in SHARDS parts by the two bytes before the last, to
-the part of the model with the same two bytes (where there are many blocks, to one of several copies of it), and their
-surprises come back to the block's texts. So an n-gram is sent once for a block, not once for a document, and every byte
+the part of the counts with the same two bytes (where there are many blocks, to one of several copies of it). There the
+contexts' totals and weights and the probabilities are made, and the surprises come back to the block's texts. So an n-gram is sent once for a block, not once for a document, and every byte
 of every document is scored.
 
 A document is rejected when its mean surprise, shrunk towards the trusted mean of its language by `prior` bytes (short
@@ -59,15 +58,25 @@ def _shard(middle):
     return F.shiftright((middle * 40503).bitwiseAND(65535) * SHARDS, 16).cast("int")
 
 
-def _discounts(counts: DataFrame) -> list[float]:
-    n = [int(x or 0) for x in counts.agg(*[F.sum((F.col("n") == k).cast("int")) for k in (1, 2, 3, 4)]).first()]
+def _discounts(n: list[int]) -> list[float]:
+    """The discounts of n-grams seen once, twice and more often, from how many are seen 1, 2, 3 and 4 times."""
     y = n[0] / (n[0] + 2 * n[1]) if n[0] + n[1] else 0.5
     return [min(k, max(0.0, k - (k + 1) * y * n[k] / n[k - 1])) if n[k - 1] and n[k] else 0.5 * k for k in (1, 2, 3)]
 
 
-def train(texts: DataFrame) -> tuple[np.ndarray, DataFrame] | None:
-    """The model of (_text): the probabilities of all pairs of bytes, and for the orders above (kind, g, v): of kind k
-    the seen k-grams and their probabilities, of kind -k the contexts of k-grams and the weights of the order below."""
+def estimates(g: np.ndarray, n: np.ndarray, cuts: list[float]) -> tuple[np.ndarray, ...]:
+    """Ascending n-grams of one order and their own part of the probability; their contexts and the weight that each
+    gives to the order below. All n-grams of a context must be there."""
+    h = g >> 8
+    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    cut = np.asarray(cuts)[np.minimum(n, 3) - 1]
+    total = np.add.reduceat(n, first)
+    return g, (n - cut) / np.repeat(total, np.diff(first, append=len(g))), h[first], np.add.reduceat(cut, first) / total
+
+
+def train(texts: DataFrame) -> tuple[np.ndarray, dict[int, list[float]], DataFrame] | None:
+    """The model of (_text): the probabilities of all pairs of bytes, the discounts of the orders above 2, and the counts
+    (kind, g, n) of their n-grams: of order 5 how often they occur, of those below how many bytes stand before them."""
 
     def count(batches):
         for b in batches:
@@ -77,51 +86,42 @@ def train(texts: DataFrame) -> tuple[np.ndarray, DataFrame] | None:
                 yield pa.RecordBatch.from_arrays([v.field("values"), v.field("counts")], names=["g", "n"])
 
     tables = {ORDER: materialise(texts.mapInArrow(kit.tidy(count), "g long, n long").groupBy("g").agg(F.sum("n").alias("n")), "grams")}
-    for k in range(ORDER - 1, 0, -1):
-        tables[k] = tables[k + 1].select(F.col("g").bitwiseAND((1 << 8 * k) - 1).alias("g")).groupBy("g").agg(F.count("*").alias("n"))
-    lower, low, parts = None, np.full(1, 1 / 256), []
-    for k in range(1, ORDER + 1):
-        t = tables[k].withColumn("h", F.shiftright("g", 8))
-        d = _discounts(t)
-        cut = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        ctx = t.groupBy("h").agg(F.sum("n").alias("total"), (F.sum(cut) / F.sum("n")).alias("w"))
-        p = t.join(ctx, "h").withColumn("own", (F.col("n") - cut) / F.col("total"))
-        if lower is None:
-            p = p.select("g", (F.col("own") + F.col("w") / 256).alias("p"))
-        else:
-            p = p.withColumn("s", F.col("g").bitwiseAND((1 << 8 * (k - 1)) - 1)).join(lower.toDF("s", "q"), "s").select("g", (F.col("own") + F.col("w") * F.col("q")).alias("p"))
-        lower = materialise(p, f"order{k}")
-        if k > 2:
-            parts += [lower.select(F.lit(k).alias("kind"), "g", F.col("p").alias("v")), ctx.select(F.lit(-k).alias("kind"), F.col("h").alias("g"), F.col("w").alias("v"))]
-            continue
-        seen, weights = lower.toArrow(), ctx.select("h", "w").toArrow()  # 256^2 rows at most
-        if not seen.num_rows:
-            return None
+    for k in range(ORDER - 1, 1, -1):
+        fewer = tables[k + 1].select(F.col("g").bitwiseAND((1 << 8 * k) - 1).alias("g")).groupBy("g").agg(F.count("*").alias("n"))
+        tables[k] = materialise(fewer, f"order{k}") if k > 2 else fewer
+    pairs = tables[2].toArrow()  # 256^2 rows at most
+    if not pairs.num_rows:
+        return None
+    g2, n2 = (c.to_numpy() for c in pairs.columns)
+    g2, n2 = g2[np.argsort(g2)], n2[np.argsort(g2)]
+    g1, n1 = np.unique(g2 & 255, return_counts=True)
+    low = np.full(256, 1 / 256)
+    for k, g, n in ((1, g1, n1), (2, g2, n2)):
+        g, own, h, weight = estimates(g, n, _discounts([int((n == j).sum()) for j in (1, 2, 3, 4)]))
         w = np.ones(256 ** (k - 1))
-        w[weights.column(0).to_numpy()] = weights.column(1).to_numpy()
-        low = np.outer(w, low if k > 1 else np.repeat(low, 256)).reshape(-1)
-        low[seen.column(0).to_numpy()] = seen.column(1).to_numpy()
-    model = parts[0]
-    for x in parts[1:]:
-        model = model.unionByName(x)
-    return low, model
-
-
-def surprises(g: np.ndarray, low: np.ndarray, model: dict[int, tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """-ln p of 5-grams: the probability of the longest seen n-gram, times the weights of the contexts above it. The
-    model has ascending n-grams and values by kind."""
-
-    def find(kind: int, x: np.ndarray, other):
-        keys, values = model.get(kind, (np.zeros(0, np.int64), np.zeros(0)))
-        if not len(keys):
-            return other
+        w[h] = weight
+        low = np.outer(w, low).reshape(-1)
+        low[g] += own
+    model = None
+    for k in range(3, ORDER + 1):
+        one = tables[k].select(F.lit(k).alias("kind"), "g", "n")
+        model = one if model is None else model.unionByName(one)
+    seen = {(r.kind, r.n): r["count"] for r in model.where("n <= 4").groupBy("kind", "n").count().collect()}  # 12 rows
+    return low, {k: _discounts([seen.get((k, j), 0) for j in (1, 2, 3, 4)]) for k in range(3, ORDER + 1)}, model
+
+
+def surprises(g: np.ndarray, low: np.ndarray, model: dict[int, tuple[np.ndarray, ...]]) -> np.ndarray:
+    """-ln p of 5-grams: of each order the n-gram's own part, and what its context gives to the order below. The model
+    has the estimates by order."""
+
+    def find(keys: np.ndarray, values: np.ndarray, x: np.ndarray, other: float) -> np.ndarray:
         at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
         return np.where(keys[at] == x, values[at], other)
 
     q = low[g & 65535]
-    for k in range(3, ORDER + 1):
-        own = g & ((1 << 8 * k) - 1)
-        q = find(k, own, find(-k, own >> 8, 1.0) * q)
+    for k, (keys, own, contexts, weights) in sorted(model.items()):
+        x = g & ((1 << 8 * k) - 1)
+        q = find(keys, own, x, 0.0) + find(contexts, weights, x >> 8, 1.0) * q
     return -np.log(np.maximum(q, 1e-30))
 
 
@@ -200,7 +200,7 @@ def _is_scan(df: DataFrame) -> bool:
     return node.getClass().getSimpleName() == "LogicalRelation"
 
 
-def score(docs: DataFrame, low: np.ndarray, model: DataFrame, keys: list[str]) -> DataFrame:
+def score(docs: DataFrame, low: np.ndarray, cuts: dict[int, list[float]], model: DataFrame, keys: list[str]) -> DataFrame:
     """keys, n (bytes) and total (their surprise) of (keys..., _text), written. A text whose block comes back without the
     surprise of one of its n-grams stops the job."""
     own = docs.select(*keys, "_text")
@@ -210,16 +210,18 @@ def score(docs: DataFrame, low: np.ndarray, model: DataFrame, keys: list[str]) -
     named = rows.withColumn("_block", block)
     copies = 1 + rows.rdd.getNumPartitions() // SHARED
     sent = named.select("_text", "_block").mapInArrow(kit.tidy(block_grams), "_block string, shard int, n int, grams binary").withColumn("copy", F.pmod(F.xxhash64("_block"), F.lit(copies)))
-    middle = F.when(F.col("kind") > 0, F.shiftright("g", 8)).otherwise(F.col("g")).bitwiseAND(65535)
-    dealt = model.select("kind", "g", F.col("v").cast("double").alias("v"), _shard(middle).alias("shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))).alias("copy"))
-    pairs = docs.sparkSession.sparkContext.broadcast(low)
+    middle = F.shiftright("g", 8).bitwiseAND(65535)
+    dealt = model.select("kind", "g", "n", _shard(middle).alias("shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))).alias("copy"))
+    shared = docs.sparkSession.sparkContext.broadcast((low, cuts))
 
     def look(left: pa.Table, right: pa.Table) -> pa.Table:
-        kinds, g, v = (right.column(c).to_numpy() for c in ("kind", "g", "v"))
+        low, cuts = shared.value
+        kinds, g, n = (right.column(c).to_numpy() for c in ("kind", "g", "n"))
         order = np.lexsort((g, kinds))
-        kinds, g, v = kinds[order], g[order], v[order]
-        tables = {int(k): (g[lo:hi], v[lo:hi]) for k in np.unique(kinds) for lo, hi in [np.searchsorted(kinds, [k, k + 1])]}
-        back = [_pack(surprises(np.cumsum(_unpack(x, n, np.int64)), pairs.value, tables).astype(np.float32)) for x, n in zip(left.column("grams").to_pylist(), left.column("n").to_pylist())]
+        ends = np.searchsorted(kinds[order], np.arange(3, ORDER + 2))
+        tables = {k: estimates(g[order[lo:hi]], n[order[lo:hi]], cuts[k]) for k, lo, hi in zip(range(3, ORDER + 1), ends, ends[1:]) if hi > lo}
+        back = [_pack(surprises(np.cumsum(_unpack(x, m, np.int64)), low, tables).astype(np.float32)) for x, m in zip(left.column("grams").to_pylist(), left.column("n").to_pylist())]
+        kit.give_back()
         return pa.table([left.column("_block"), left.column("shard"), left.column("n"), pa.array(back, pa.binary())], names=["_block", "shard", "n", "found"])
 
     found = sent.groupBy("shard", "copy").cogroup(dealt.groupBy("shard", "copy")).applyInArrow(look, "_block string, shard int, n int, found binary")
@@ -251,6 +253,7 @@ def score(docs: DataFrame, low: np.ndarray, model: DataFrame, keys: list[str]) -
                     run = np.concatenate(([0.0], np.cumsum(value[np.searchsorted(g, seen)][at], dtype=np.float64)))
                     total = run[o[1:]] - run[o[:-1]]
                 out.append(pa.table([*(t.column(k).slice(lo, hi - lo) for k in keys), pa.array(n), pa.array(total)], names=[*keys, "n", "total"]))
+        kit.give_back()
         return pa.concat_tables(out)
 
     scored = materialise(packed.groupBy("_block").cogroup(found.groupBy("_block")).applyInArrow(add, schema), "scores")
@@ -272,17 +275,18 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         return rows.select(F.col("_id").alias(id_col), F.col("_lang").alias("lang"), F.coalesce(F.octet_length("_text"), F.lit(0)).cast("long").alias("n_bytes"), *(F.lit(None).cast("double").alias(c) for c in ("surprise", "perplexity", "threshold")), F.lit(False).alias("rejected"))
     scored = score(rows, *model, ["_id", "_lang"])
     held = trusted.where(apart) if split else trusted
-    seen = by_ids(scored, held, "_id", "left_semi").where("n > 0")
-    means = bounded(seen.groupBy("_lang").agg(F.count("*").alias("docs"), (F.sum("total") / F.sum("n")).alias("mean")).where(F.col("docs") >= least), "means")
+    seen = materialise(by_ids(scored, held, "_id", "left_semi").where("n > 0"), "held_out")
+    means = bounded(seen.groupBy("_lang").agg(F.count("*").alias("docs"), (F.sum("total") / F.sum("n")).alias("mean")).where((F.col("docs") >= least) & F.col("_lang").isNotNull()).select(F.col("_lang").alias("_l"), "mean"), "means")
     every = seen.agg(F.sum("total") / F.sum("n")).first()[0]
-    named = scored.join(means.select(F.col("_lang").alias("_l"), "mean"), F.col("_lang") == F.col("_l"), "left").withColumn("m", F.coalesce("mean", F.lit(every)))
-    named = named.withColumn("surprise", F.when(F.col("n") > 0, (F.col("total") + prior * F.col("m")) / (F.col("n") + prior))).drop("_l")
-    named = materialise(named, "shrunk")
-    seen = by_ids(named, held, "_id", "left_semi").where("n > 0")
+
+    def shrunk(df: DataFrame) -> DataFrame:
+        towards = F.coalesce("mean", F.lit(every))
+        return df.join(means, F.col("_lang") == F.col("_l"), "left").withColumn("surprise", F.when(F.col("n") > 0, (F.col("total") + prior * towards) / (F.col("n") + prior))).drop("_l")
+
     q = lambda: F.percentile_approx("surprise", quantile, 10_000)
-    cuts = bounded(seen.where("mean IS NOT NULL").groupBy(F.col("_lang").alias("_l")).agg(q().alias("cut")), "cuts")
-    default = seen.agg(q()).first()[0]
-    out = named.join(cuts, F.col("_lang") == F.col("_l"), "left").withColumn("threshold", F.coalesce("cut", F.lit(default)) + margin)
+    cuts = bounded(shrunk(seen).where("mean IS NOT NULL").groupBy(F.col("_lang").alias("_c")).agg(q().alias("cut")), "cuts")
+    default = shrunk(seen).agg(q()).first()[0]
+    out = shrunk(scored).join(cuts, F.col("_lang") == F.col("_c"), "left").withColumn("threshold", F.coalesce("cut", F.lit(default)) + margin)
     return out.select(F.col("_id").alias(id_col), F.col("_lang").alias("lang"), F.col("n").alias("n_bytes"), "surprise", F.exp(F.col("total") / F.when(F.col("n") > 0, F.col("n"))).alias("perplexity"), "threshold", F.coalesce(F.col("surprise") > F.col("threshold"), F.lit(False)).alias("rejected"))
 
 
