@@ -49,11 +49,7 @@ def section_of(secs: Column, start: Column, end: Column) -> Column:
 
 def sentences(raw: Column) -> Column:
     """C4: array<struct<start,end>> of the trimmed text between runs of full stops and line feeds."""
-    parts = T.hits(raw, r"[^.\n]+")
-    lead = lambda p: F.length(F.regexp_extract(T.cut(raw, p["start"], p["end"]), r"(?U)^\s*", 0))
-    tail = lambda p: F.length(F.regexp_extract(T.cut(raw, p["start"], p["end"]), r"(?U)\s*\z", 0))
-    full = F.filter(parts, lambda p: F.length(T.squeeze(T.cut(raw, p["start"], p["end"]))) > 0)
-    return F.transform(full, lambda p: F.struct((p["start"] + lead(p)).alias("start"), (p["end"] - tail(p)).alias("end")))
+    return T.hits(raw, r"(?U)[^.\n\s](?:[^.\n]*[^.\n\s])?")
 
 
 def sentence_window(raw: Column, start: Column, end: Column) -> tuple[Column, Column]:
@@ -126,18 +122,17 @@ def lines(notes: DataFrame) -> DataFrame:
 def lab_lines(raw: Column) -> Column:
     """array<struct<start,line>> of the lines inside lab blocks. The latest opening or closing heading decides, so
     the state of a line is a running fold over the lines; opening headings themselves are skipped."""
-    arr = F.split(raw, "\n", -1)
-    starts = lambda key, heads: F.exists(F.array(*[F.lit(h) for h in heads]), lambda h: key.startswith(h))
+    starts = lambda key, heads: reduce(Column.__or__, [key.startswith(h) for h in heads])
+    keyed = F.transform(F.split(raw, "\n", -1), lambda line: F.struct(line.alias("line"), T.folded(F.btrim(line, F.lit(" -*\t:"))).alias("key")))
     first = F.struct(F.lit(0).alias("at"), F.lit(False).alias("on"), F.array().cast("array<struct<start:int,line:string>>").alias("out"))
 
-    def step(acc, line):
-        key = T.folded(F.btrim(line, F.lit(" -*\t:")))
-        opened = starts(key, L.LAB_BLOCK_OPEN)
-        on = F.when(opened, True).when(starts(key, L.LAB_BLOCK_CLOSE), False).otherwise(acc["on"])
+    def step(acc, x):
+        line, opened = x["line"], starts(x["key"], L.LAB_BLOCK_OPEN)
+        on = F.when(opened, True).when(starts(x["key"], L.LAB_BLOCK_CLOSE), False).otherwise(acc["on"])
         take = on & ~opened & (F.length(T.squeeze(line)) > 0)
         return F.struct((acc["at"] + F.length(line) + 1).alias("at"), on.alias("on"), F.when(take, F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start"), line.alias("line"))))).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(arr, first, step, lambda a: a["out"])
+    return F.aggregate(keyed, first, step, lambda a: a["out"])
 
 
 def lab_lines_by_window(notes: DataFrame) -> DataFrame:
