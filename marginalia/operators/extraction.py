@@ -17,6 +17,7 @@ from .spans import spans
 
 _I = "(?iuUd)"
 _MILLION = 1_000_000
+_SMALL_LEXICON = 50_000
 
 
 def _one(pattern: str, before: str = "") -> tuple[str, str]:
@@ -301,15 +302,20 @@ def memory_lexicon(notes: DataFrame, lexicon_table: DataFrame) -> DataFrame:
     """(record_id, start, end, text, type, assertions, candidates): substrings of notes, case-blind, longest entries
     first (equal ones in the lexicon's order: lex_ord, or count descending and lower text), none overlapping an earlier
     one. Places (record_id, at) join the entries on three letters, so notes travel only with the places that can begin
-    an entry; the occupancy is a fold in the note."""
+    an entry; the occupancy is a fold in the note. Notes and places are never broadcast, whatever size the planner
+    takes them for; a lexicon of up to _SMALL_LEXICON entries is."""
     columns = lexicon_table.columns
     order = [F.col("lex_ord")] if "lex_ord" in columns else [-F.col("count")] if "count" in columns else []
     lex = lexicon_table.where(F.length("text") >= 3).select(F.struct((-F.length("text")).alias("n"), *[c.alias("o") for c in order], F.lower("text").alias("l"), "text").alias("rank"), F.lower("text").alias("_low"), F.length("text").alias("_len"), "type", "assertions", "candidates")
     lex = lex.withColumn("_head", F.substring("_low", 1, 3))
-    letters = notes.where(F.length("raw_text") >= 3).select("record_id", F.split("raw_text", "", -1).alias("_c"), F.length("raw_text").alias("_n"))
-    three = F.transform(F.sequence(F.lit(0), F.col("_n") - 3), lambda i: F.substring(F.lower(F.concat(F.get("_c", i), F.get("_c", i + 1), F.get("_c", i + 2))), 1, 3))
+    small = lexicon_table.limit(_SMALL_LEXICON + 1).count() <= _SMALL_LEXICON
+    letters = notes.where(F.length("raw_text") >= 3).select("record_id", F.split("raw_text", "", -1).alias("_c"), F.split(F.lower("raw_text"), "", -1).alias("_l"), F.length("raw_text").alias("_n"), F.col("raw_text").rlike("[\u0130\u03a3]").alias("_odd"))
+    join3 = lambda c, i: F.concat(F.get(c, i), F.get(c, i + 1), F.get(c, i + 2))
+    every = F.sequence(F.lit(0), F.col("_n") - 3)
+    # the letters whose lower case is longer or depends on the place are lowered by the three
+    three = F.when(F.col("_odd"), F.transform(every, lambda i: F.substring(F.lower(join3("_c", i)), 1, 3))).otherwise(F.transform(every, lambda i: join3("_l", i)))
     places = letters.select("record_id", F.posexplode(three).alias("at", "_head"))
-    near = places.join(lex, "_head").join(notes.select("record_id", "raw_text"), "record_id")
+    near = places.join(F.broadcast(lex) if small else lex.hint("merge"), "_head").join(notes.select("record_id", "raw_text").hint("merge"), "record_id")
     here = F.substring(F.col("raw_text"), F.col("at") + 1, F.col("_len"))
     hit = near.where(F.lower(here) == F.col("_low"))
     each = F.struct("rank", F.col("at").cast("int").alias("start"), (F.col("at") + F.col("_len")).cast("int").alias("end"), here.alias("text"), "type", "assertions", "candidates")
