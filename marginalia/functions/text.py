@@ -51,6 +51,11 @@ def strip_marks(c: Column) -> Column:
     return F.when(c.rlike(r"[^\x00-\x7F]"), nfkc(bare)).otherwise(c)
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with the value computed once, however often and wherever `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def squeeze(c: Column) -> Column:
     """Runs of white space to one space, none at the ends."""
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
@@ -90,6 +95,28 @@ def _walk(pieces: Column) -> Column:
     return F.aggregate(F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))), first, step, lambda acc: acc["out"])
 
 
+def pieces(text: Column, pattern: str) -> Column:
+    """The text cut at both ends of each match: what lies before, match, gap, match, ..., gap."""
+    return F.split(F.regexp_replace(F.translate(text, OPEN + CLOSE, "  "), pattern, f"{OPEN}$0{CLOSE}"), f"[{OPEN}{CLOSE}]", -1)
+
+
+def offsets(parts: Column, block: int = 256) -> Column:
+    """Where each string of an array begins in their concatenation, and its length at the end. Sums go by the block, so
+    that long arrays are not copied for each of their strings."""
+    running = lambda lengths, first: F.aggregate(lengths, F.array(first), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    total = lambda lengths: F.aggregate(lengths, F.lit(0), lambda acc, n: acc + n)
+
+    def by_block(lengths: Column) -> Column:
+        cuts = F.sequence(F.lit(0), F.floor((F.greatest(F.size(lengths), F.lit(1)) - 1) / block).cast("int"))
+        return F.transform(cuts, lambda b: F.slice(lengths, b * block + 1, block))
+
+    def summed(blocks: Column, begin: Column) -> Column:
+        each = F.transform(blocks, lambda x, i: F.slice(running(x, F.get(begin, i)), 1, F.size(x)))
+        return F.concat(F.flatten(each), F.array(F.element_at(begin, -1)))
+
+    return let(F.transform(parts, lambda x: F.length(x)), lambda lengths: let(by_block(lengths), lambda blocks: let(running(F.transform(blocks, lambda x: total(x)), F.lit(0)), lambda begin: summed(blocks, begin))))
+
+
 def cut(text: Column, start: Column, end: Column) -> Column:
     """text[start:end]."""
     return F.substring(text, start + 1, end - start)

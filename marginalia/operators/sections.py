@@ -148,8 +148,11 @@ def lab_lines_by_window(notes: DataFrame) -> DataFrame:
 def in_lab_block(raw: Column, start: Column, back: int = 1200) -> Column:
     """The last lab heading in the text before is later than the last other heading."""
     a = F.greatest(start - back, F.lit(0))
-    before = T.folded(T.cut(raw, a, start))
-    last = lambda words: F.greatest(*[F.when(F.instr(before, w) > 0, F.length(before) - F.instr(F.reverse(before), w[::-1]) - len(w) + 1).otherwise(-1) for w in words])
-    lab = last(["ket qua xet nghiem", "xet nghiem can lam sang", "laboratory results"])
-    other = last(["ket qua chan doan hinh anh", "chan doan hinh anh", "chan doan", "danh gia", "dieu tri", "thuoc", "ke hoach"])
-    return (lab >= 0) & (lab > other)
+    lab = ["ket qua xet nghiem", "xet nghiem can lam sang", "laboratory results"]
+    other = ["ket qua chan doan hinh anh", "chan doan hinh anh", "chan doan", "danh gia", "dieu tri", "thuoc", "ke hoach"]
+
+    def later(before: Column, back_to_front: Column) -> Column:
+        last = lambda words: F.greatest(*[F.when(F.instr(before, w) > 0, F.length(before) - F.instr(back_to_front, w[::-1]) - len(w) + 1).otherwise(-1) for w in words])
+        return T.let(last(lab), lambda n: (n >= 0) & (n > last(other)))
+
+    return T.let(T.cut(raw, a, start), lambda near: T.let(T.folded(near), lambda before: T.let(F.reverse(before), lambda r: later(before, r))))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from marginalia.operators import extraction
+from marginalia.operators import extraction, sections
 
 
 def plan(rows):
@@ -24,3 +24,10 @@ def test_memory_lexicon_broadcasts_the_lexicon_alone(spark, monkeypatch):
     rows = extraction.memory_lexicon(n, lex)
     assert "BroadcastExchange" not in plan(rows)
     assert sorted(map(str, rows.collect())) == small
+
+
+def test_lab_block_folds_its_text_once(spark):
+    n = spark.createDataFrame([("Kết quả xét nghiệm:\n- WBC: 9", 22), ("Kết quả xét nghiệm:\nChẩn đoán: WBC", 31), ("WBC", 1), (None, 1)], "raw_text string, at int")
+    rows = n.select(sections.in_lab_block(F.col("raw_text"), F.col("at")).alias("inside"))
+    assert [r.inside for r in rows.collect()] == [True, False, False, False]
+    assert rows._jdf.queryExecution().analyzed().toString().count("decompose") <= 4
