@@ -84,14 +84,18 @@ def lexicon(notes: DataFrame, terms: list[str], gen: int = 0) -> DataFrame:
 
 def lexicon_join(notes: DataFrame, aliases: DataFrame, column: str = "alias") -> DataFrame:
     """D1 for tables too large for an alternation: word n-grams of every note join the lower-cased aliases on equality
-    (Spark picks broadcast or shuffle by size), then leftmost-longest hits are kept by a fold in each note.
+    (the aliases are broadcast up to _SMALL_LEXICON of them), then leftmost-longest hits are kept by a fold in each note.
+    An n-gram is put together from its words and the gaps between, so no row carries the text of its note.
     (record_id, start, end, alias)."""
     words = aliases.select(F.trim(F.col(column)).alias("alias")).where(F.length("alias") >= 2).select(F.lower("alias").alias("key"), "alias").groupBy("key").agg(F.min("alias").alias("alias"))
     words = words.withColumn("n", F.size(F.regexp_extract_all("key", F.lit(r"(?U)\w+|[^\w\s]+"), 0)))
-    most = words.agg(F.max("n")).first()[0] or 0
-    tok = notes.where("raw_text IS NOT NULL").select("record_id", "raw_text", T.hits(F.col("raw_text"), r"(?U)\w+|[^\w\s]+").alias("t"))
-    grams = tok.select("record_id", F.lower("raw_text").alias("low"), F.explode(F.expr(f"flatten(transform(t, (x, i) -> transform(slice(t, i + 1, {max(1, most)}), y -> named_struct('start', x.start, 'end', y.end))))")).alias("g"))
-    grams = grams.select("record_id", "g.start", "g.end", F.expr("substring(low, g.start + 1, g.end - g.start)").alias("key"))
+    most, many = words.agg(F.max("n"), F.count("*")).first()
+    words = F.broadcast(words) if many <= _SMALL_LEXICON else words.hint("merge")
+    tok = notes.where("raw_text IS NOT NULL").select("record_id", T.pieces(F.col("raw_text"), r"(?U)\w+|[^\w\s]+").alias("p")).where("size(p) > 1")
+    tok = tok.select("record_id", "p", T.offsets(F.col("p")).alias("at"))
+    gram = "named_struct('start', at[2 * i + 1], 'end', at[2 * (i + m)], 'key', lower(array_join(slice(p, 2 * i + 2, 2 * m - 1), '')))"
+    grams = tok.select("record_id", F.explode(F.expr(f"flatten(transform(sequence(0, size(p) div 2 - 1), i -> transform(sequence(1, least({max(1, most or 0)}, size(p) div 2 - i)), m -> {gram})))")).alias("g"))
+    grams = grams.select("record_id", "g.start", "g.end", "g.key")
     found = grams.join(words, "key").groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct(F.col("start"), (-F.col("end")).alias("neg"), F.col("alias")))).alias("h"))
     left = F.expr("aggregate(h, cast(array() AS array<struct<start:int,end:int,alias:string>>), (acc, x) -> CASE WHEN size(acc) = 0 OR x.start >= element_at(acc, -1).end THEN concat(acc, array(named_struct('start', x.start, 'end', -x.neg, 'alias', x.alias))) ELSE acc END)")
     return found.select("record_id", F.explode(left).alias("x")).select("record_id", "x.*")
