@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from marginalia.operators import extraction, sections
+from marginalia.operators import extraction, sections, terminology
+from marginalia.sources import readers
 
 
 def plan(rows):
@@ -31,3 +32,49 @@ def test_lab_block_folds_its_text_once(spark):
     rows = n.select(sections.in_lab_block(F.col("raw_text"), F.col("at")).alias("inside"))
     assert [r.inside for r in rows.collect()] == [True, False, False, False]
     assert rows._jdf.queryExecution().analyzed().toString().count("decompose") <= 4
+
+
+def test_lexicon_join_puts_ngrams_together(spark):
+    n = spark.createDataFrame([("a", "İ that  this, THE " + "x " * 700 + "of"), ("b", "that this"), ("c", ""), ("d", None)], "record_id string, raw_text string")
+    rows = extraction.lexicon_join(n, spark.createDataFrame([("the",), ("that this",), ("this",), ("of",)], "alias string"))
+    got = sorted((r.record_id, r.start, r.end, r.alias) for r in rows.collect())
+    assert got == [("a", 8, 12, "this"), ("a", 14, 17, "the"), ("a", 1418, 1420, "of"), ("b", 0, 9, "that this")]
+
+
+def test_closure_of_a_chain_and_a_cycle(spark):
+    nodes = spark.range(14).selectExpr("'n' AS model", "cast(id AS string) AS id", "'n' AS parent_model", "cast((id + 13) % 14 AS string) AS parent_id", "concat('K', id) AS code", "'x' AS name")
+    rows = readers.tree_closure(nodes, nodes.where("id = '3'").select("model", "id"))
+    assert len(rows._jdf.queryExecution().logical().toString()) < 20_000
+    assert {r.concept_id: r.level for r in rows.collect()} == {f"ICD10:K{i}": (i - 3) % 14 for i in range(14)}
+
+
+def mentions_and_terms(spark):
+    rows = spark.range(60).selectExpr("id AS ord", "concat('c', id % 50) AS concept_id", "concat(if(id % 2 = 0, 'red ', 'blue '), if(id % 3 = 0, 'bolt ', 'ring '), id % 4, ' mg') AS name", "'RxNorm' AS source", "'drug' AS semantic_type", "cast(array() AS array<string>) AS aliases", "'v' AS version", "'en' AS language", "'SCD' AS term_type")
+    m = spark.range(6).selectExpr("cast(id AS string) AS mention_id", "if(id < 4, 'red bolt 2 mg', 'no blue') AS mention", "'drug' AS concept_type")
+    return m, terminology.terms(rows)
+
+
+def once(rows):
+    return "Aggregate [mention" in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_token_lookup_of_equal_mentions(spark):
+    m, t = mentions_and_terms(spark)
+    rows = terminology.token_lookup(m, t, 12)
+    assert once(rows)
+    terms = t.select("term_ord", "concept_id", "norm").collect()
+    for r in m.collect():
+        line = sorted((i, x.term_ord, x.concept_id) for i, w in enumerate(r.mention.split()) for x in terms if len(w) >= 3 and w in x.norm.split())
+        want = list(dict.fromkeys(c for _, _, c in line))[:12]
+        assert [x.concept_id for x in rows.where(F.col("mention_id") == r.mention_id).orderBy("place").collect()] == want
+
+
+def test_strength_lookups_of_equal_mentions(spark):
+    m, t = mentions_and_terms(spark)
+    rows = terminology.strength_lookup(m, t)
+    assert once(rows)
+    assert {r.mention_id: r["count"] for r in rows.groupBy("mention_id").count().collect()} == {str(i): 15 for i in range(4)}
+    best = terminology.strength_candidates(m, t)
+    assert once(best)
+    want = {f"c{i % 50}" for i in range(60) if i % 6 == 0 and i % 4 == 2}
+    assert all({r.concept_id for r in best.where(F.col("mention_id") == str(i)).collect()} == want for i in range(4))
