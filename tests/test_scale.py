@@ -78,3 +78,37 @@ def test_strength_lookups_of_equal_mentions(spark):
     assert once(best)
     want = {f"c{i % 50}" for i in range(60) if i % 6 == 0 and i % 4 == 2}
     assert all({r.concept_id for r in best.where(F.col("mention_id") == str(i)).collect()} == want for i in range(4))
+
+
+def test_fuzzy_lookup_finds_every_name(spark):
+    names = ["abcd", "x abcd", "zz abéx", "red bolt 5 mg", "bolt red 5 mg", "red bolt 50 mg", "q" * 70 + "rs", "qa", "blue ring"]
+    asked = ["abxcd", "red bolt 5 mg", "mg 5 bolt red", "q" * 69 + "trs", "zzabéx", "abcd zz", None, ""]
+    rows = spark.createDataFrame([(i, f"c{i}", x) for i, x in enumerate(names)], "ord long, concept_id string, name string")
+    t = terminology.terms(rows.selectExpr("*", "'RxNorm' AS source", "'drug' AS semantic_type", "cast(array() AS array<string>) AS aliases", "'v' AS version", "'en' AS language", "'IN' AS term_type"))
+    m = spark.createDataFrame([(str(i), x, "drug") for i, x in enumerate(asked)], "mention_id string, mention string, concept_type string")
+    for cutoff, limit in ((88, 20), (60, 2)):
+        got = [(r.mention_id, r.concept_id, r.ratio) for r in terminology.fuzzy_lookup(m, t, cutoff, limit).orderBy("mention_id", "place").collect()]
+        want = []
+        for i, a in enumerate(asked):
+            fit = sorted((-terminology._set_ratio(a or "", b), j) for j, b in enumerate(names) if terminology._set_ratio(a or "", b) >= cutoff)
+            want += [(str(i), f"c{j}", -r) for r, j in fit[:limit]]
+        assert got == want
+    # no word and no three characters in a row are common
+    assert ("0", "c0") in {(a, b) for a, b, _ in want}
+
+
+def test_walk_of_prefixes_is_exact():
+    import random
+
+    from marginalia.functions.nearness import nearest
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.choice((1, 4, 9, 80))))
+    for cutoff, limit in ((50, 3), (88, 100)):
+        names, asked = sorted({word() for _ in range(60)}), sorted({word() for _ in range(30)})
+        first = rng.sample(range(999), len(names))
+        want = []
+        for a in asked:
+            fit = sorted((-terminology._set_ratio(a, b), f, b) for b, f in zip(names, first) if a != b and terminology._set_ratio(a, b) >= cutoff)
+            want += [(a, b, f, -r) for r, f, b in fit[:limit]]
+        assert sorted(nearest(asked, names, first, cutoff, limit)) == sorted(want)
