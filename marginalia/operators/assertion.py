@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
 from ..functions import text as T
 from . import sections as S
+from .spans import spread
 
 
 def has_cue(text: Column, cues: list[str]) -> Column:
@@ -67,28 +69,41 @@ def asserted(spans_: DataFrame, notes: DataFrame, scope_repair: bool = True, cla
 
 
 def train_classifiers(examples: DataFrame, labels: list[str] = L.OUTPUT_ASSERTIONS, features: int = 1 << 16) -> dict:
-    """For each label with both answers among examples (text, assertions), words, pairs and triples with inverse
-    document frequencies and a class-weighted logistic regression. label -> PipelineModel."""
+    """For each label with both answers among examples (text, assertions, and `copies` where a row stands for many),
+    words, pairs and triples with inverse document frequencies and a class-weighted logistic regression. Equal examples
+    are one row that weighs as much. label -> PipelineModel."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import IDF, HashingTF, NGram, RegexTokenizer, VectorAssembler
-
-    out = {}
+    from pyspark.ml.feature import ElementwiseProduct, HashingTF, NGram, RegexTokenizer, VectorAssembler
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.stat import Summarizer
+
+    copies = F.sum("copies") if "copies" in examples.columns else F.count("*")
+    rows = spread(examples, "text").groupBy("text", "assertions").agg(copies.cast("double").alias("copies")).persist()
+    words, cols = [RegexTokenizer(inputCol="text", outputCol="w", pattern=r"(?U)\W+", minTokenLength=2)], []
+    for k in (1, 2, 3):
+        src = "w" if k == 1 else f"g{k}"
+        words += [NGram(n=k, inputCol="w", outputCol=src)] if k > 1 else []
+        words += [HashingTF(inputCol=src, outputCol=f"t{k}", numFeatures=features)]
+        cols.append(f"i{k}")
+    out, scaled = {}, None
     for label in labels:
-        rows = examples.withColumn("label", F.array_contains("assertions", label).cast("double"))
-        n = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
+        told = rows.withColumn("label", F.array_contains("assertions", label).cast("double"))
+        n = {r[0]: r[1] for r in told.groupBy("label").agg(F.sum("copies")).collect()}
         if len(n) < 2:
             continue
         total = sum(n.values())
-        rows = rows.withColumn("weight", F.when(F.col("label") == 1, total / (2 * n[1.0])).otherwise(total / (2 * n[0.0])))
-        stages, cols = [RegexTokenizer(inputCol="text", outputCol="w", pattern=r"(?U)\W+", minTokenLength=2)], []
-        for k in (1, 2, 3):
-            src = "w" if k == 1 else f"g{k}"
-            stages += [NGram(n=k, inputCol="w", outputCol=src)] if k > 1 else []
-            stages += [HashingTF(inputCol=src, outputCol=f"t{k}", numFeatures=features), IDF(inputCol=f"t{k}", outputCol=f"i{k}")]
-            cols.append(f"i{k}")
-        stages += [VectorAssembler(inputCols=cols, outputCol="features"), LogisticRegression(weightCol="weight", maxIter=100, regParam=1e-3)]
-        out[label] = Pipeline(stages=stages).fit(rows)
+        if scaled is None:
+            # the estimator for these frequencies counts rows, not what they weigh
+            seen = rows.select("text", "copies")
+            for stage in words:
+                seen = (stage.copy({stage.binary: True}) if isinstance(stage, HashingTF) else stage).transform(seen)
+            df = seen.select(*[Summarizer.metrics("sum").summary(F.col(f"t{k}"), F.col("copies"))["sum"].alias(f"t{k}") for k in (1, 2, 3)]).first()
+            scaled = [ElementwiseProduct(scalingVec=Vectors.dense(np.log((total + 1) / (np.rint(df[f"t{k}"].toArray()) + 1))), inputCol=f"t{k}", outputCol=f"i{k}") for k in (1, 2, 3)]
+        told = told.withColumn("weight", F.col("copies") * F.when(F.col("label") == 1, total / (2 * n[1.0])).otherwise(total / (2 * n[0.0])))
+        stages = [*words, *scaled, VectorAssembler(inputCols=cols, outputCol="features"), LogisticRegression(weightCol="weight", maxIter=100, regParam=1e-3)]
+        out[label] = Pipeline(stages=stages).fit(told)
+    rows.unpersist()
     return out
 
 

@@ -147,3 +147,8 @@ def uncovered(new: DataFrame, old: DataFrame) -> DataFrame:
     anti-join."""
     o = old.select("record_id", "type", F.col("start").alias("o0"), F.col("end").alias("o1"))
     return new.join(o, (new["record_id"] == o["record_id"]) & (new["type"] == o["type"]) & (F.col("o0") <= F.col("start")) & (F.col("end") <= F.col("o1")), "left_anti")
+
+
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt to all cores, by columns if named. Without it, few bytes go to few tasks, however much work they are."""
+    return rows.repartition(max(4, 2 * rows.sparkSession.sparkContext.defaultParallelism), *by)

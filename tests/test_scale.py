@@ -1,8 +1,9 @@
 """What keeps the queries whole on larger tables: no broadcast of notes, mentions and terms met once each."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from marginalia.operators import extraction, sections, terminology
+from marginalia.operators import assertion, extraction, sections, terminology
 from marginalia.sources import readers
 
 
@@ -112,3 +113,13 @@ def test_walk_of_prefixes_is_exact():
             fit = sorted((-terminology._set_ratio(a, b), f, b) for b, f in zip(names, first) if a != b and terminology._set_ratio(a, b) >= cutoff)
             want += [(a, b, f, -r) for r, f, b in fit[:limit]]
         assert sorted(nearest(asked, names, first, cutoff, limit)) == sorted(want)
+
+
+def test_equal_examples_are_one_that_weighs_as_much(spark):
+    rows = [("không ho sốt", ["isNegated"], 9), ("ho sốt nhiều", [], 4), ("không đau ngực", ["isNegated"], 1), ("đau ngực", [], 2)]
+    one = spark.createDataFrame(rows, "text string, assertions array<string>, copies long")
+    every = one.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copies", "_i")
+    a, b = (assertion.train_classifiers(x, ["isNegated"], 64)["isNegated"] for x in (one, every))
+    assert abs(a.stages[-1].coefficients.toArray() - b.stages[-1].coefficients.toArray()).max() < 1e-6
+    df = sum(n for text, _, n in rows if "không" in text)
+    assert any(abs(x - np.log(17 / (df + 1))) < 1e-12 for x in a.stages[6].getScalingVec().toArray())
