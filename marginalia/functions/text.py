@@ -67,8 +67,14 @@ def norm(c: Column) -> Column:
 
 
 def folded(c: Column) -> Column:
-    """norm without accents. The letters of Vietnamese and Latin-1 by a table; what isn't ASCII then, by decomposition."""
-    return squeeze(strip_marks(F.translate(norm(c), _FOLD_FROM + "äëïöüçñåûî", _FOLD_TO + "aeioucnaui")))
+    """norm without accents."""
+    return unaccented(norm(c))
+
+
+def unaccented(n: Column) -> Column:
+    """folded, of what norm gave. The letters of Vietnamese and Latin-1 by a table; what isn't ASCII then, by
+    decomposition."""
+    return squeeze(strip_marks(F.translate(n, _FOLD_FROM + "äëïöüçñåûî", _FOLD_TO + "aeioucnaui")))
 
 
 def filter_key(c: Column) -> Column:

@@ -134,3 +134,18 @@ def test_strength_candidates_read_equal_names_once(spark):
     assert "Aggregate [name" in best._jdf.queryExecution().optimizedPlan().toString()
     got = {(r.mention_id, r.concept_id, r.cand_ord.o, r.cand_ord.t) for r in best.collect()}
     assert got == {("0", "c0", 0, 0), ("0", "c1", 0, 1), ("0", "c2", 0, 2), ("0", "c4", 1, 4), ("1", "c4", 0, 4)}
+
+
+def test_cascade_normalizes_once_and_stops(spark, monkeypatch):
+    rows = spark.createDataFrame([(0, "c0", "Đái Tháo", ["Tiểu Đường", None]), (1, "c1", "dai thao", None), (2, "c2", "Suy tim", []), (3, "c0", "đái  tháo", ["suy TIM"])], "ord long, concept_id string, name string, aliases array<string>")
+    t = terminology.terms(rows.selectExpr("*", "'ICD10_VI' AS source", "'diagnosis' AS semantic_type", "'v' AS version", "'vi' AS language", "cast(null AS string) AS term_type"))
+    m = spark.createDataFrame([("0", "dai thao", "diagnosis"), ("1", "ĐÁI THÁO", "diagnosis"), ("2", "tieu duong", "diagnosis"), ("3", "suy tim", "diagnosis"), ("4", None, "diagnosis")], "mention_id string, mention string, concept_type string")
+
+    def late(*_):
+        raise AssertionError("every mention has a sure candidate")
+
+    monkeypatch.setattr(terminology, "fuzzy_lookup", late)
+    monkeypatch.setattr(terminology, "token_lookup", late)
+    got = {(r.mention_id, r.concept_id, r.match_type, float(r.score), r.cand_ord.t) for r in terminology.candidates(m, t).collect()}
+    # c1 has no accents, so it is no folded key: "ĐÁI THÁO" doesn't reach it
+    assert got == {("0", "c0", "folded_exact", 0.92, 0), ("0", "c1", "exact", 1.0, 1), ("1", "c0", "exact", 1.0, 0), ("2", "c0", "folded_exact", 0.92, 0), ("3", "c0", "alias", 0.95, 3), ("3", "c2", "exact", 1.0, 2)}
